@@ -16,6 +16,12 @@ from tallyframe.operators.aggregates import count_with_share, share_of_rows
 from tallyframe.operators.ordered import centred_average
 from tallyframe.operators.rows import latest_ascending, union_all
 
+# Section names of the report.
+OVERALL = "THỐNG KÊ TỔNG QUAN"
+PEOPLE = "SỐ LƯỢNG NGƯỜI (PER FRAME)"
+SPEED = "HIỆU NĂNG XỬ LÝ"
+SPREAD = "PHÂN PHỐI SỐ NGƯỜI"
+
 
 def _millis(seconds: str) -> Column:
     return to_millis(precise_seconds(F.col(seconds)))
@@ -98,20 +104,17 @@ def distribution(frames: DataFrame) -> DataFrame:
 def report_rows(frames: DataFrame) -> DataFrame:
     """The report as (section, place, metric, value) rows."""
     one = report_figures(frames)
-    # Section and metric names of the report.
-    overall, people, speed = "THỐNG KÊ TỔNG QUAN", "SỐ LƯỢNG NGƯỜI (PER FRAME)", "HIỆU NĂNG XỬ LÝ"
-    spread = "PHÂN PHỐI SỐ NGƯỜI"
     entries = [
-        (overall, "Tổng số frame xử lý", thousands(F.col("Total_Frames"))),
-        (overall, "Tổng lượt phát hiện", thousands(F.col("Total_Detections"))),
-        (overall, "Tỉ lệ frame có người", F.concat(fixed1_half_even(F.col("Detection_Rate_Pct")), F.lit("%"))),
-        (people, "Trung bình", F.concat(fixed2_half_even(F.col("Average_Count")), F.lit(" người/frame"))),
-        (people, "Cao nhất (peak)", F.concat(F.col("Max_Count"), F.lit(" người"))),
-        (people, "Thấp nhất", F.concat(F.col("Min_Count"), F.lit(" người"))),
-        (people, "Frame đông nhất", F.concat(F.lit("#"), F.col("Peak_Frame"), F.lit(" lúc "), F.col("Peak_Time"))),
-        (speed, "Latency trung bình", F.concat(fixed1_half_even(F.col("Average_Latency_ms")), F.lit(" ms"))),
-        (speed, "Latency cao nhất", F.concat(fixed1_half_even(F.col("Max_Latency_ms")), F.lit(" ms"))),
-        (speed, "FPS tương đương", F.concat(F.lit("~"), fixed1_half_even(F.col("FPS")), F.lit(" FPS"))),
+        (OVERALL, "Tổng số frame xử lý", thousands(F.col("Total_Frames"))),
+        (OVERALL, "Tổng lượt phát hiện", thousands(F.col("Total_Detections"))),
+        (OVERALL, "Tỉ lệ frame có người", F.concat(fixed1_half_even(F.col("Detection_Rate_Pct")), F.lit("%"))),
+        (PEOPLE, "Trung bình", F.concat(fixed2_half_even(F.col("Average_Count")), F.lit(" người/frame"))),
+        (PEOPLE, "Cao nhất (peak)", F.concat(F.col("Max_Count"), F.lit(" người"))),
+        (PEOPLE, "Thấp nhất", F.concat(F.col("Min_Count"), F.lit(" người"))),
+        (PEOPLE, "Frame đông nhất", F.concat(F.lit("#"), F.col("Peak_Frame"), F.lit(" lúc "), F.col("Peak_Time"))),
+        (SPEED, "Latency trung bình", F.concat(fixed1_half_even(F.col("Average_Latency_ms")), F.lit(" ms"))),
+        (SPEED, "Latency cao nhất", F.concat(fixed1_half_even(F.col("Max_Latency_ms")), F.lit(" ms"))),
+        (SPEED, "FPS tương đương", F.concat(F.lit("~"), fixed1_half_even(F.col("FPS")), F.lit(" FPS"))),
     ]
     rows = [
         F.struct(F.lit(section).alias("section"), F.lit(place).alias("place"), F.lit(metric).alias("metric"), value.alias("value"))
@@ -122,7 +125,7 @@ def report_rows(frames: DataFrame) -> DataFrame:
         "%5d frames (%5s%%) %s", F.col("frames"), fixed1_half_even(F.col("pct")), F.col("bar")
     )
     tail = distribution(frames).select(
-        F.lit(spread).alias("section"),
+        F.lit(SPREAD).alias("section"),
         (F.col("person_count") + len(entries) + 1).alias("place"),
         F.concat(F.col("person_count"), F.lit(" người")).alias("metric"),
         bars.alias("value"),
@@ -136,8 +139,7 @@ def report_lines(frames: DataFrame) -> DataFrame:
     headings = rows.groupBy("section").agg(F.min("place").alias("place")).select(
         "place", F.lit(0).alias("part"), F.concat(F.lit("--- "), F.col("section"), F.lit(" ---")).alias("value")
     )
-    short = F.col("metric").endswith(F.lit(" người"))
-    body = F.when(short, F.concat(F.lit("  "), F.col("metric"), F.lit(" : "), F.col("value"))).otherwise(
+    body = F.when(F.col("section") == SPREAD, F.concat(F.lit("  "), F.col("metric"), F.lit(" : "), F.col("value"))).otherwise(
         F.concat(F.lit("  "), F.rpad("metric", 22, " "), F.lit(": "), F.col("value"))
     )
     metrics = rows.select("place", F.lit(1).alias("part"), body.alias("value"))

@@ -50,6 +50,8 @@ class Tables:
         return self.given("lineitem").select(
             "l_orderkey",
             "l_linenumber",
+            "l_returnflag",
+            "l_suppkey",
             F.expr("CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -1 - l_partkey ELSE l_partkey END").alias("movie_id"),
             (F.ceil(F.col("l_quantity") / 5) * F.lit(0.5).cast("double")).alias("rating"),
             F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("ts"),
@@ -63,6 +65,13 @@ class Tables:
         )
         return self.rating_rows.join(buyer, "l_orderkey", "left").select("user_id", "movie_id", "rating", "ts")
 
+    def rating_lines(self, rows: DataFrame | None = None, instead: str = "") -> DataFrame:
+        """Ratings as text, with ``::`` on even lines and a comma and blank on odd ones. ``instead``
+        holds WHEN clauses that put other lines in the place of some."""
+        fields = "CAST(l_suppkey AS STRING), CAST(movie_id AS STRING), CAST(rating AS STRING), CAST(ts AS STRING)"
+        line = f"CASE {instead} WHEN l_linenumber % 2 = 0 THEN concat_ws('::', {fields}) ELSE concat_ws(', ', {fields}) END AS value"
+        return (rows or self.rating_rows).selectExpr(line)
+
     @cached_property
     def users(self) -> DataFrame:
         return self.given("customer").selectExpr(
@@ -203,7 +212,7 @@ SQL_VIEWS: dict[str, tuple[list[str], str]] = {
     "movies": ([], "SELECT p_partkey AS movie_id, p_name AS title, p_type || '| ' || p_brand AS genres FROM part"),
     "rating_rows": (
         [],
-        """SELECT l_orderkey, l_linenumber, l_suppkey,
+        """SELECT l_orderkey, l_linenumber, l_returnflag, l_suppkey,
                   CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -1 - l_partkey ELSE l_partkey END AS movie_id,
                   ceil(l_quantity / 5) * 0.5 AS rating, CAST(epoch(l_shipdate) AS BIGINT) AS ts FROM lineitem""",
     ),

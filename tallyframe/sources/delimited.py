@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,9 +43,20 @@ USERS = Layout(
 OCCUPATIONS = Layout((("occupation", 0, "int"), ("occupation_name", 1, "string")), "ID", ("occupation",), 2)
 
 
-def split_fields(line: Column) -> Column:
-    """Fields of a line: ``::`` is the separator if the line holds it, else the comma."""
-    return F.when(F.contains(line, F.lit("::")), F.split(line, "::")).otherwise(F.split(line, ","))
+def split_fields(line: Column, body: Column | None = None) -> Column:
+    """Fields of a line (or of ``body``): ``::`` is the separator if the line holds it, else the comma."""
+    separator = F.when(_double_colon(line), "::").otherwise(",")
+    return F.split(line if body is None else body, separator)
+
+
+def _double_colon(line: Column) -> Column:
+    return F.contains(line, F.lit("::"))
+
+
+def _rows(lines: DataFrame, fields: Column, row: Callable[[Column], Column]) -> DataFrame:
+    """One typed row per line. The lambda binds the fields, so that a line is split once, where
+    filters and columns over a split column would each repeat the split."""
+    return lines.select(F.inline(F.transform(F.array(fields), row)))
 
 
 def parse_lines(lines: DataFrame, layout: Layout, mode: str = "drop", line: str = "value") -> DataFrame:
@@ -64,34 +75,34 @@ def parse_lines(lines: DataFrame, layout: Layout, mode: str = "drop", line: str
 
 def _lenient(lines: DataFrame, layout: Layout, line: Column) -> DataFrame:
     whole = lines.where(~line.startswith(layout.header) & (trim_all(line) != ""))
-    shortened = F.when(F.contains(line, F.lit("::")), F.regexp_replace(line, "(::)+$", "")).otherwise(
-        F.regexp_replace(line, ",+$", "")
-    )
-    fields = whole.select(split_fields(shortened).alias("f")).where(F.size("f") >= layout.fields)
-    typed = fields.select(
-        *[
-            trim_all(_lenient_field(F.col("f"), place, layout.fields)).try_cast(kind).alias(name)
-            for name, place, kind in layout.columns
-        ]
-    )
-    return typed.dropna(subset=list(layout.required))
+    shortened = F.when(_double_colon(line), F.regexp_replace(line, "(::)+$", "")).otherwise(F.rtrim(line, F.lit(",")))
+
+    def field(fields: Column, place: int, kind: str) -> Column:
+        if place >= 0:
+            found = F.get(fields, F.lit(place))
+        else:
+            found = F.when(F.size(fields) > layout.fields, F.element_at(fields, place))
+        return trim_all(found) if kind == "string" else trim_all(found).try_cast(kind)
 
+    def row(fields: Column) -> Column:
+        typed = [field(fields, place, kind).alias(name) for name, place, kind in layout.columns]
+        return F.struct(*typed, F.size(fields).alias("_fields"))
 
-def _lenient_field(fields: Column, place: int, least: int) -> Column:
-    if place >= 0:
-        return F.get(fields, F.lit(place))
-    return F.when(F.size(fields) > least, F.element_at(fields, place))
+    parsed = _rows(whole, split_fields(line, shortened), row).where(F.col("_fields") >= layout.fields)
+    return parsed.dropna(subset=list(layout.required)).drop("_fields")
 
 
 def _strict(lines: DataFrame, layout: Layout, line: Column) -> DataFrame:
-    fields = lines.select(split_fields(trim_all(line)).alias("f"), line.alias("l"))
-    return fields.select(*[_strict_field(F.col("f"), F.col("l"), place, kind).alias(name) for name, place, kind in layout.columns])
+    def field(fields: Column, place: int, kind: str) -> Column:
+        found = F.get(fields, F.lit(place if place >= 0 else 2))
+        value = found if kind == "string" else F.trim(found).try_cast(kind)
+        shown = F.concat(F.lit("malformed line: "), F.array_join(fields, "|"))
+        return F.coalesce(value, F.raise_error(shown).cast(kind))
 
+    def row(fields: Column) -> Column:
+        return F.struct(*[field(fields, place, kind).alias(name) for name, place, kind in layout.columns])
 
-def _strict_field(fields: Column, line: Column, place: int, kind: str) -> Column:
-    found = F.get(fields, F.lit(place if place >= 0 else 2))
-    value = found if kind == "string" else F.trim(found).try_cast(kind)
-    return F.coalesce(value, F.raise_error(F.concat(F.lit("malformed line: "), line)).cast(kind))
+    return _rows(lines, split_fields(line, trim_all(line)), row)
 
 
 def read_delimited_auto(spark: SparkSession, paths: str | Sequence[str], layout: Layout, mode: str = "drop") -> DataFrame:
