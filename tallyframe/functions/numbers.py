@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
-SECONDS = "decimal(18,6)"
+SECONDS = "decimal(24,15)"
 
 
 def to_long(text: Column) -> Column:
@@ -33,8 +33,7 @@ def precise_seconds(seconds: Column) -> Column:
 
 def exact_mean(values: Column, scale: int) -> Column:
     """Mean of integers or decimals, rounded half up on the exact quotient. NULL without values."""
-    total = F.sum(values).cast("decimal(28,6)")
-    return F.round(total / F.nullif(F.count(values), F.lit(0)).cast("decimal(18,0)"), scale)
+    return F.round(F.sum(values) / F.nullif(F.count(values), F.lit(0)).cast("decimal(18,0)"), scale)
 
 
 def to_millis(seconds: Column) -> Column:

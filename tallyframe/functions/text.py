@@ -31,13 +31,14 @@ def clean_text(text: Column) -> Column:
     return F.trim(collapse_spaces(strip_punctuation(F.lower(text))))
 
 
-def word_array(text: Column) -> Column:
-    """The words of ``clean_text``, duplicates kept, by one pass of one pattern.
+def word_pieces(text: Column) -> Column:
+    """The words of ``clean_text``, duplicates kept, by one pass of one pattern; the first and the
+    last piece may be empty.
 
     A word is a longest run of letters and digits, so splitting the raw lower-cased text on all
     else gives the same words as cleaning first and splitting on the single spaces that remain.
     """
-    return F.filter(F.split(F.lower(text), NOT_WORD), lambda word: word != "")
+    return F.split(F.lower(text), NOT_WORD)
 
 
 def list_items(field: Column, trimmed: bool = True) -> Column:

@@ -13,7 +13,8 @@ SECONDS_PER_DAY = 86400
 
 
 def parse_minute(text: Column) -> Column:
-    """Text to timestamp; text of another form gives NULL, also under ANSI."""
+    """Text to timestamp; text of another form gives NULL, also under ANSI. A column that already
+    holds timestamps stays as it is."""
     return F.try_to_timestamp(text, F.lit(MINUTE_FORMAT))
 
 

@@ -48,9 +48,10 @@ def share_of_rows(predicate: Column) -> Column:
 
 
 def count_with_share(df: DataFrame, key: str, name: str = "n", share: str = "pct") -> DataFrame:
-    """Rows per value and their percent of all rows; the total is read off the counts."""
+    """Rows per value and their percent of all rows. The total sums the counts, whose shuffle
+    Spark reuses, so the rows are read once."""
     counts = count_by(df, [key], name)
-    total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    total = counts.agg(F.sum(name).alias("rows")).scalar()
     return counts.withColumn(share, F.col(name) * 100.0 / total)
 
 

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.text import word_array
+from tallyframe.functions.text import word_pieces
 from tallyframe.operators.joins import without_listed
 
 
 def words_of(df: DataFrame, text: str, *kept: str, word: str = "word") -> DataFrame:
-    """One row per word of each text, repeated words kept, with the ``kept`` columns."""
-    return df.select(*kept, F.explode(word_array(F.col(text))).alias(word))
+    """One row per word of each text, repeated words kept, with the ``kept`` columns.
+
+    The empty piece before or after the words of a text goes behind the explode, which keeps the
+    whole step inside generated code.
+    """
+    return df.select(*kept, F.explode(word_pieces(F.col(text))).alias(word)).where(F.col(word) != "")
 
 
 def content_words(df: DataFrame, text: str, stopwords: DataFrame, *kept: str) -> DataFrame:

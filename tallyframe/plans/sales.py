@@ -14,7 +14,7 @@ from tallyframe.functions.numbers import exact_mean, money, truncated_int
 from tallyframe.functions.times import days_between, in_year, parse_minute
 from tallyframe.operators.aggregates import count_by, distinct_values
 from tallyframe.operators.ordered import dense_rank_all, exact_quantile, sketched_quantile
-from tallyframe.operators.rows import top_rows, union_all
+from tallyframe.operators.rows import union_all
 from tallyframe.session import cut
 
 # Text column -> parsed column, and the names of the overview metrics.
@@ -107,7 +107,8 @@ def product_sales(items: DataFrame, products: DataFrame, reviews: DataFrame) ->
     """Units sold and mean score per product; an item counts once per review of its order.
 
     Each order's reviews are folded to their number and score sum, so the join does not fan out:
-    an order with no valid review still counts one row per item.
+    an order with no valid review still counts one row per item. Products tie often, so their id
+    ends the order and spreads it.
     """
     per_order = clean_reviews(reviews).groupBy("Order_ID").agg(
         F.count(F.lit(1)).alias("reviews"), F.sum("Review_Score_Int").alias("score")
@@ -121,12 +122,12 @@ def product_sales(items: DataFrame, products: DataFrame, reviews: DataFrame) ->
     merged = named.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in ("units", "reviews", "score")])
     mean = F.round(F.col("score").cast("decimal(28,6)") / F.col("reviews").cast("decimal(12,0)"), 3).cast("double")
     sold = merged.select(*keys, F.col("units").alias("Units_Sold"), mean.alias("Average_Review_Score"))
-    return sold.orderBy(F.desc("Units_Sold"), F.desc("Average_Review_Score"))
+    return sold.orderBy(F.desc("Units_Sold"), F.desc("Average_Review_Score"), F.asc("Product_ID"))
 
 
 def best_selling_product(items: DataFrame, products: DataFrame, reviews: DataFrame) -> DataFrame:
-    sold = product_sales(items, products, reviews)
-    return top_rows(sold, 1, F.desc("Units_Sold"), F.desc("Average_Review_Score"), F.asc("Product_ID"))
+    """The first row of :func:`product_sales`; its order makes way for a heap of one row."""
+    return product_sales(items, products, reviews).limit(1)
 
 
 def _delays(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -219,4 +220,4 @@ def seller_performance(items: DataFrame) -> DataFrame:
 def seller_ranking(items: DataFrame) -> DataFrame:
     """Sellers by revenue, then by orders; equal sellers share a rank and no rank is left out."""
     ranked = dense_rank_all(seller_performance(items), ["Total_Revenue", "Total_Orders"], "Seller_Rank")
-    return ranked.orderBy("Seller_Rank")
+    return ranked.orderBy("Seller_Rank", "Seller_ID")

@@ -65,7 +65,7 @@ def detect(frames: DataFrame, load_detector: Callable[[], Detector]) -> DataFram
             good = found.notna()
             boxes = [[{"box": list(box), "confidence": score} for box, score in row] for row in found[good]]
             kept = batch.loc[good, ["frame_id", "timestamp"]]
-            yield kept.assign(detections=boxes, process_latency_seconds=seconds)
+            yield kept.assign(detections=pd.Series(boxes, kept.index, dtype=object), process_latency_seconds=seconds)
 
     schema = f"frame_id INT, timestamp DOUBLE, detections {BOX_SCHEMA}, process_latency_seconds DOUBLE"
     return frames.select("frame_id", "timestamp", "value").mapInPandas(run, schema)
