@@ -57,8 +57,7 @@ def customer_segment(orders: Column, average_value: Column, high_value: Column)
 
 def purchase_gap_days(first: Column, last: Column, orders: Column) -> Column:
     """Mean days between two purchases; NULL for a single one."""
-    gaps = F.nullif(orders - 1, F.lit(0)).cast("decimal(12,0)")
-    return F.when(orders > 1, F.round(F.datediff(last, first).cast("decimal(12,0)") / gaps, 2))
+    return F.when(orders > 1, F.round(F.try_divide(F.datediff(last, first), orders - 1), 2))
 
 
 def zero_if_missing(number: Column) -> Column:

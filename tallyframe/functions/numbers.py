@@ -1,4 +1,9 @@
-"""Number helpers: lenient casts, money and latency as decimals, exact means."""
+"""Number helpers: lenient casts, money and latency as whole numbers, exact means.
+
+Sums of doubles depend on the order in which tasks finish, sums of whole numbers do not. Money is
+therefore summed in cents and latency in nanoseconds; both stay primitive values in generated code,
+where a cast of a double to a decimal goes through text. A sum of cents beyond 64 bits raises.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
-SECONDS = "decimal(24,15)"
 
 
 def to_long(text: Column) -> Column:
@@ -26,18 +30,33 @@ def money(amount: Column) -> Column:
     return amount.cast(MONEY)
 
 
-def precise_seconds(seconds: Column) -> Column:
-    """Latency as a decimal, so that sums do not depend on the order in which tasks finish."""
-    return seconds.cast(SECONDS)
+def cents(amount: Column) -> Column:
+    """An amount with two decimals as a whole number of cents."""
+    return F.rint(amount.cast("double") * 100).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    return total.cast("double") / 100
+
+
+def nanoseconds(seconds: Column) -> Column:
+    """Seconds as a whole number of nanoseconds, wide enough to be summed over any number of rows."""
+    return F.rint(seconds * 1e9).cast("bigint").cast("decimal(18,0)")
 
 
 def exact_mean(values: Column, scale: int) -> Column:
-    """Mean of integers or decimals, rounded half up on the exact quotient. NULL without values."""
+    """Mean of whole numbers or decimals, rounded half up on the exact quotient. NULL without values."""
     return F.round(F.sum(values) / F.nullif(F.count(values), F.lit(0)).cast("decimal(18,0)"), scale)
 
 
-def to_millis(seconds: Column) -> Column:
-    return seconds * 1000
+def mean_of_cents(values: Column) -> Column:
+    """Mean of amounts in cents, as an amount with two decimals."""
+    return from_cents(exact_mean(values, 0))
+
+
+def to_millis(seconds: Column, scale: int = 6) -> Column:
+    """Seconds as milliseconds; the rounding takes off what the product adds behind the digits."""
+    return F.round(seconds * 1000, scale)
 
 
 def percent_of(part: Column, whole: Column) -> Column:

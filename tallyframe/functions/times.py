@@ -20,7 +20,7 @@ def parse_minute(text: Column) -> Column:
 
 def epoch_to_timestamp(seconds: Column) -> Column:
     """Epoch seconds, fractions kept to the microsecond."""
-    return F.timestamp_micros(F.round(seconds * 1_000_000).cast("bigint"))
+    return F.timestamp_micros(F.rint(seconds * 1_000_000).cast("bigint"))
 
 
 def epoch_year(seconds: Column) -> Column:
@@ -38,9 +38,10 @@ def timestamp_epoch(moment: Column) -> Column:
 
 
 def days_between(later: Column, earlier: Column) -> Column:
-    """Difference in days, two decimals; exact, since the seconds are divided as decimals."""
+    """Difference in days, two decimals. Ties are exact: the double next to a tie prints as the tie,
+    and any other quotient is too far from one."""
     seconds = F.unix_seconds(later.cast("timestamp")) - F.unix_seconds(earlier.cast("timestamp"))
-    return F.round(seconds.cast("decimal(18,0)") / F.lit(SECONDS_PER_DAY).cast("decimal(6,0)"), 2)
+    return F.round(seconds / SECONDS_PER_DAY, 2)
 
 
 def whole_days_between(later: Column, earlier: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.numbers import exact_mean, precise_seconds, to_millis
+from tallyframe.functions.numbers import exact_mean, nanoseconds, to_millis
 from tallyframe.functions.text import fixed1_half_even, fixed2_half_even, percent_bar, thousands
 from tallyframe.functions.times import CLOCK_FORMAT, epoch_text
 from tallyframe.operators.aggregates import count_with_share, share_of_rows
@@ -23,17 +23,13 @@ SPEED = "HIỆU NĂNG XỬ LÝ"
 SPREAD = "PHÂN PHỐI SỐ NGƯỜI"
 
 
-def _millis(seconds: str) -> Column:
-    return to_millis(precise_seconds(F.col(seconds)))
-
-
 def summary(frames: DataFrame) -> DataFrame:
     return frames.agg(
         F.count("frame_id").alias("Total_Frames"),
         F.sum("person_count").alias("Total_People_Detected"),
         exact_mean(F.col("person_count"), 2).cast("double").alias("Average_Person_Count"),
         F.max("person_count").alias("Peak_Person_Count"),
-        exact_mean(_millis("process_latency_seconds"), 2).cast("double").alias("Avg_Latency_ms"),
+        (exact_mean(nanoseconds(F.col("process_latency_seconds")), -4).cast("double") / 1e6).alias("Avg_Latency_ms"),
     )
 
 
@@ -56,27 +52,31 @@ def rolling_average(frames: DataFrame, groups: tuple[str, ...] = (), partitions:
 
 
 def detection_log(frames: DataFrame) -> DataFrame:
-    """The log in frame order, latencies in milliseconds; missing numbers count as zero."""
+    """The log in frame order, latencies in milliseconds; missing numbers count as zero.
+
+    The rows are sorted before they are formatted, as finding the borders of the sort reads its
+    input once more. The time parts frames with the same number, which may be very many.
+    """
+    ordered = frames.orderBy("frame_id", "timestamp")
     seconds = F.coalesce("timestamp", F.lit(0.0))
 
     def millis(column: str) -> Column:
-        return F.round(to_millis(precise_seconds(F.coalesce(column, F.lit(0.0)))), 2).cast("double")
+        return to_millis(F.coalesce(column, F.lit(0.0)), 2)
 
-    log = frames.select(
+    return ordered.select(
         "frame_id",
-        F.round(seconds.cast("decimal(18,6)"), 3).cast("double").alias("timestamp"),
+        F.round(seconds, 3).alias("timestamp"),
         epoch_text(seconds).alias("datetime"),
         F.coalesce("person_count", F.lit(0)).alias("person_count"),
         millis("process_latency_seconds").alias("process_latency_ms"),
         millis("total_latency_seconds").alias("total_latency_ms"),
     )
-    return log.orderBy("frame_id", "timestamp")
 
 
 def report_figures(frames: DataFrame) -> DataFrame:
     """All figures of the report in one pass; the first frame wins among equal peaks."""
     count = F.coalesce("person_count", F.lit(0))
-    latency = to_millis(precise_seconds(F.coalesce("process_latency_seconds", F.lit(0.0))))
+    latency = F.coalesce("process_latency_seconds", F.lit(0.0))
     peak = F.max_by(F.struct("frame_id", "timestamp"), F.struct(count, -F.col("frame_id"), -F.col("timestamp")))
     figures = frames.agg(
         F.count(F.lit(1)).alias("Total_Frames"),
@@ -86,8 +86,8 @@ def report_figures(frames: DataFrame) -> DataFrame:
         F.max(count).alias("Max_Count"),
         F.min(count).alias("Min_Count"),
         peak.alias("_peak"),
-        (F.sum(latency).cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("Average_Latency_ms"),
-        F.max(latency).cast("double").alias("Max_Latency_ms"),
+        F.try_divide(F.sum(nanoseconds(latency)).cast("double") / 1e6, F.count(F.lit(1))).alias("Average_Latency_ms"),
+        to_millis(F.max(latency)).alias("Max_Latency_ms"),
     )
     return figures.select(
         *[name for name in figures.columns if name != "_peak"],
@@ -156,7 +156,7 @@ def live_metrics(frames: DataFrame) -> DataFrame:
     )
     return frames.agg(newest.alias("last"), F.count(F.lit(1)).alias("total_records")).select(
         F.coalesce("last.person_count", F.lit(0)).alias("current_count"),
-        to_millis(precise_seconds(F.coalesce("last.process_latency_seconds", F.lit(0.0)))).cast("double").alias("latency_ms"),
+        to_millis(F.coalesce("last.process_latency_seconds", F.lit(0.0))).alias("latency_ms"),
         epoch_text(F.col("last.timestamp"), CLOCK_FORMAT).alias("latest_time"),
         "total_records",
     )

@@ -1,7 +1,7 @@
 """Sales: orders, review scores, revenue, delivery, customer segments and seller ranks.
 
 Tables keep the column names of the shop export: Orders, Customer_List, Order_Items,
-Order_Reviews and Products. Money is summed as a decimal and given back as a double.
+Order_Reviews and Products. Money is summed in whole cents and given back as a double.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.labels import customer_segment, delivery_flag, purchase_gap_days
-from tallyframe.functions.numbers import exact_mean, money, truncated_int
+from tallyframe.functions.numbers import cents, exact_mean, from_cents, mean_of_cents, money, truncated_int
 from tallyframe.functions.times import days_between, in_year, parse_minute
 from tallyframe.operators.aggregates import count_by, distinct_values
 from tallyframe.operators.ordered import dense_rank_all, exact_quantile, sketched_quantile
@@ -40,6 +40,11 @@ def item_revenue() -> Column:
     return money(F.col("Price")) + money(F.col("Freight_Value"))
 
 
+def item_cents() -> Column:
+    """The same in cents, for sums."""
+    return cents(F.col("Price")) + cents(F.col("Freight_Value"))
+
+
 def clean_items(items: DataFrame) -> DataFrame:
     return items.withColumns({"Shipping_Limit_TS": parse_minute(F.col("Shipping_Limit_Date")), "Item_Revenue": item_revenue()})
 
@@ -95,10 +100,10 @@ def revenue_by_category(items: DataFrame, orders: DataFrame, products: DataFrame
     looked up, so the product table joins rows of products, not of items.
     """
     bought = orders.where(in_year(F.col("Order_Purchase_TS"), year)).select("Order_ID")
-    sold = items.select("Order_ID", "Product_ID", item_revenue().alias("Item_Revenue")).join(bought, "Order_ID")
-    per_product = sold.groupBy("Product_ID").agg(F.sum("Item_Revenue").alias("revenue"), F.count(F.lit(1)).alias("items"))
+    sold = items.select("Order_ID", "Product_ID", item_cents().alias("cents")).join(bought, "Order_ID")
+    per_product = sold.groupBy("Product_ID").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("items"))
     named = per_product.join(products.select("Product_ID", "Product_Category_Name"), "Product_ID", "left")
-    total = F.sum("revenue").cast("double").alias(f"Total_Revenue_{year}")
+    total = from_cents(F.sum("cents")).alias(f"Total_Revenue_{year}")
     grouped = named.groupBy("Product_Category_Name").agg(total, F.sum("items").alias("Total_Items_Sold"))
     return grouped.orderBy(F.desc(f"Total_Revenue_{year}"))
 
@@ -120,7 +125,7 @@ def product_sales(items: DataFrame, products: DataFrame, reviews: DataFrame) ->
     named = per_product.join(products.select("Product_ID", "Product_Category_Name"), "Product_ID", "left")
     keys = ["Product_ID", "Product_Category_Name"]
     merged = named.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in ("units", "reviews", "score")])
-    mean = F.round(F.col("score").cast("decimal(28,6)") / F.col("reviews").cast("decimal(12,0)"), 3).cast("double")
+    mean = F.round(F.col("score") / F.col("reviews").cast("decimal(18,0)"), 3).cast("double")
     sold = merged.select(*keys, F.col("units").alias("Units_Sold"), mean.alias("Average_Review_Score"))
     return sold.orderBy(F.desc("Units_Sold"), F.desc("Average_Review_Score"), F.asc("Product_ID"))
 
@@ -141,8 +146,7 @@ def _delays(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def delivery_detail(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Delay of each item in days against its shipping limit, and whether it is late."""
-    detail = _delays(orders, items).withColumn("Delivery_Delay_Days", F.col("Delivery_Delay_Days").cast("double"))
-    return detail.select(
+    return _delays(orders, items).select(
         "Order_ID",
         "Order_Status",
         "Order_Delivered_Carrier_TS",
@@ -157,21 +161,20 @@ def delivery_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
     delay = F.col("Delivery_Delay_Days")
     summary = _delays(orders, items).groupBy("Delivery_Performance").agg(
         F.count(F.lit(1)).alias("Number_Of_Order_Items"),
-        exact_mean(delay, 2).cast("double").alias("Average_Delay_Days"),
-        F.min(delay).cast("double").alias("Min_Delay_Days"),
-        F.max(delay).cast("double").alias("Max_Delay_Days"),
+        mean_of_cents(cents(delay)).alias("Average_Delay_Days"),
+        F.min(delay).alias("Min_Delay_Days"),
+        F.max(delay).alias("Max_Delay_Days"),
     )
     return summary.orderBy("Delivery_Performance")
 
 
 def _customer_metrics(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders, mean order value and purchase dates per customer, by way of the value per order."""
-    per_order = items.select("Order_ID", item_revenue().alias("Item_Revenue")).groupBy("Order_ID")
-    values = per_order.agg(F.sum("Item_Revenue").alias("Order_Value"))
+    values = items.select("Order_ID", item_cents().alias("cents")).groupBy("Order_ID").agg(F.sum("cents").alias("cents"))
     bought = orders.where(F.col("Order_Purchase_TS").isNotNull()).select("Order_ID", "Customer_Trx_ID", "Order_Purchase_TS")
     metrics = bought.join(values, "Order_ID", "left").groupBy("Customer_Trx_ID").agg(
         F.count_distinct("Order_ID").alias("Total_Orders"),
-        exact_mean(F.col("Order_Value"), 2).alias("Average_Order_Value"),
+        mean_of_cents(F.col("cents")).alias("Average_Order_Value"),
         F.min("Order_Purchase_TS").alias("First_Purchase_TS"),
         F.max("Order_Purchase_TS").alias("Last_Purchase_TS"),
     )
@@ -192,28 +195,25 @@ def _segmented(orders: DataFrame, items: DataFrame, fraction: float, relative_er
 
 def customer_segments(orders: DataFrame, items: DataFrame, fraction: float = 0.75, relative_error: float = 0.0) -> DataFrame:
     """Metrics and segment per customer; the high-value limit is a quantile of the mean values."""
-    segmented = _segmented(orders, items, fraction, relative_error)
-    as_double = {name: F.col(name).cast("double") for name in ("Average_Order_Value", "Purchase_Frequency_Days")}
-    return segmented.withColumns(as_double)
+    return _segmented(orders, items, fraction, relative_error)
 
 
 def segment_summary(orders: DataFrame, items: DataFrame, fraction: float = 0.75, relative_error: float = 0.0) -> DataFrame:
     summary = _segmented(orders, items, fraction, relative_error).groupBy("Customer_Segment").agg(
         F.count(F.lit(1)).alias("Number_Of_Customers"),
         exact_mean(F.col("Total_Orders"), 2).cast("double").alias("Avg_Total_Orders"),
-        exact_mean(F.col("Average_Order_Value"), 2).cast("double").alias("Avg_Order_Value"),
-        exact_mean(F.col("Purchase_Frequency_Days"), 2).cast("double").alias("Avg_Frequency_Days"),
+        mean_of_cents(cents(F.col("Average_Order_Value"))).alias("Avg_Order_Value"),
+        mean_of_cents(cents(F.col("Purchase_Frequency_Days"))).alias("Avg_Frequency_Days"),
     )
     return summary.orderBy(F.desc("Number_Of_Customers"))
 
 
 def seller_performance(items: DataFrame) -> DataFrame:
-    revenue = F.col("Item_Revenue")
-    return items.select("Seller_ID", "Order_ID", item_revenue().alias("Item_Revenue")).groupBy("Seller_ID").agg(
-        F.sum(revenue).cast("double").alias("Total_Revenue"),
+    return items.select("Seller_ID", "Order_ID", item_cents().alias("cents")).groupBy("Seller_ID").agg(
+        from_cents(F.sum("cents")).alias("Total_Revenue"),
         F.count_distinct("Order_ID").alias("Total_Orders"),
         F.count(F.lit(1)).alias("Total_Items_Sold"),
-        exact_mean(revenue, 2).cast("double").alias("Avg_Item_Revenue"),
+        mean_of_cents(F.col("cents")).alias("Avg_Item_Revenue"),
     )
 
 

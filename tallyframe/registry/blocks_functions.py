@@ -58,7 +58,7 @@ query(
 query(
     "case_5",
     lambda t: _per_customer(t).select(
-        "Customer_Trx_ID", labels.purchase_gap_days(F.col("first"), F.col("last"), F.col("n")).cast("double").alias("gap")
+        "Customer_Trx_ID", labels.purchase_gap_days(F.col("first"), F.col("last"), F.col("n")).alias("gap")
     ),
     f"""SELECT Customer_Trx_ID, CASE WHEN n > 1 THEN {half_up("date_diff('day', first, last)", "(n - 1)", 2)} END AS gap
         FROM ({_PER_CUSTOMER})""",
@@ -235,7 +235,7 @@ query(
 query(
     "mth_3",
     lambda t: t.frames.select(
-        "frame_id", numbers.to_millis(numbers.precise_seconds(F.col("process_latency_seconds"))).cast("double").alias("ms")
+        "frame_id", numbers.to_millis(F.col("process_latency_seconds")).alias("ms")
     ),
     "SELECT frame_id, CAST(CAST(process_latency_seconds AS DECIMAL(18,6)) * 1000 AS DOUBLE) AS ms FROM frames",
     "frames",

@@ -176,7 +176,7 @@ query(
 query(
     "join_11",
     lambda t: t.orders.select("Order_ID").join(
-        t.items.select("Order_ID", sales.item_revenue().alias("r")).groupBy("Order_ID").agg(F.sum("r").cast("double").alias("Order_Value")),
+        t.items.select("Order_ID", sales.item_cents().alias("c")).groupBy("Order_ID").agg(numbers.from_cents(F.sum("c")).alias("Order_Value")),
         "Order_ID",
         "left",
     ),
@@ -228,7 +228,7 @@ query(
 )
 query(
     "agg_6",
-    lambda t: t.items.agg(F.count(F.lit(1)).alias("items"), F.sum(sales.item_revenue()).cast("double").alias("revenue")),
+    lambda t: t.items.agg(F.count(F.lit(1)).alias("items"), numbers.from_cents(F.sum(sales.item_cents())).alias("revenue")),
     "SELECT count(*) AS items, CAST(sum(Item_Revenue) AS DOUBLE) AS revenue FROM shop_items",
     "shop_items",
 )

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyframe.functions.times import timestamp_epoch
 from tallyframe.session import scratch_path
@@ -21,6 +22,9 @@ STOPWORD_LINES = [
 ]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """Lazy access to the given tables and to the views on them."""
 
@@ -29,7 +33,11 @@ class Tables:
         self.folder = folder
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table. Its schema is read from the file once, not again for each query."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)

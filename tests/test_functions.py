@@ -32,7 +32,7 @@ def test_late_is_judged_on_the_rounded_delay(spark):
     start = datetime.datetime(2024, 1, 1)
     moments = [(start + datetime.timedelta(seconds=seconds), start) for seconds in (431, 432, 433, 0, -86400)]
     delay = times.days_between(F.col("a"), F.col("b"))
-    found = one(spark, "a TIMESTAMP, b TIMESTAMP", moments, delay.cast("double"), labels.delivery_flag(delay))
+    found = one(spark, "a TIMESTAMP, b TIMESTAMP", moments, delay, labels.delivery_flag(delay))
     late, on_time = "Late", "On time or early"
     assert found == [(0.0, on_time), (0.01, late), (0.01, late), (0.0, on_time), (-1.0, on_time)]
 
@@ -46,7 +46,7 @@ def test_customer_segments_and_missing_values(spark):
 def test_purchase_gap_is_null_for_one_order(spark):
     day = datetime.datetime
     rows = [(day(2024, 1, 1), day(2024, 1, 11), 1), (day(2024, 1, 1), day(2024, 1, 11), 4), (day(2024, 1, 1), day(2024, 1, 1), 2)]
-    gap = labels.purchase_gap_days(F.col("a"), F.col("b"), F.col("n")).cast("double")
+    gap = labels.purchase_gap_days(F.col("a"), F.col("b"), F.col("n"))
     assert one(spark, "a TIMESTAMP, b TIMESTAMP, n BIGINT", rows, gap) == [(None,), (3.33,), (0.0,)]
 
 
