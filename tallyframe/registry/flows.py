@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -352,11 +351,11 @@ query("cam_08", lambda t: frames.recent_trend(t.frames), TREND_SQL, "frames")
 def count_detector():
     """A stand-in for a model: the payload is the number of persons, each gets a box of its own."""
 
-    def find(payloads: pd.Series) -> list:
+    def find(payloads: list[bytes]) -> list:
         found = []
         for payload in payloads:
             try:
-                persons = int(bytes(payload).decode("utf-8"))
+                persons = int(payload.decode("utf-8"))
             except ValueError:
                 found.append(None)
                 continue

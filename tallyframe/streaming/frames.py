@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +16,8 @@ from tallyframe.sources.files import BOX_SCHEMA
 FRAME_SCHEMA = "value BINARY, headers ARRAY<STRUCT<key: STRING, value: BINARY>>"
 
 Box = tuple[Sequence[int], float]
-Detector = Callable[[pd.Series], Iterable[Sequence[Box] | None]]
+Detector = Callable[[list[bytes]], Iterable[Sequence[Box] | None]]
+ARROW_BOXES = pa.list_(pa.struct([("box", pa.list_(pa.int32())), ("confidence", pa.float64())]))
 
 
 def frame_files(spark: SparkSession, path: str) -> DataFrame:
@@ -49,26 +50,28 @@ def decode_headers(messages: DataFrame) -> DataFrame:
     )
 
 
-def detect(frames: DataFrame, load_detector: Callable[[], Detector]) -> DataFrame:
+def detect(frames: DataFrame, load_detector: Callable[[], Detector], partitions: int | None = None) -> DataFrame:
     """Run a detector over the frames and skip those it cannot decode.
 
-    The detector is loaded once per task and called with a whole Arrow batch of payloads; it gives
-    back the boxes per payload, or None for a payload that is no image.
+    The detector is loaded once per task and called with all payloads of an Arrow batch; it gives
+    back the boxes per payload, or None for a payload that is no image. Where a model takes longer
+    than moving a frame, ``partitions`` deals the frames out evenly to that many tasks.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = load_detector()
         for batch in batches:
             started = time.perf_counter()
-            found = pd.Series(list(find(batch["value"])), index=batch.index, dtype=object)
-            seconds = (time.perf_counter() - started) / max(len(batch), 1)
-            good = found.notna()
-            boxes = [[{"box": list(box), "confidence": score} for box, score in row] for row in found[good]]
-            kept = batch.loc[good, ["frame_id", "timestamp"]]
-            yield kept.assign(detections=pd.Series(boxes, kept.index, dtype=object), process_latency_seconds=seconds)
+            found = list(find(batch.column("value").to_pylist()))
+            seconds = (time.perf_counter() - started) / max(len(found), 1)
+            kept = batch.filter(pa.array([boxes is not None for boxes in found], pa.bool_()))
+            boxes = [[{"box": box, "confidence": score} for box, score in row] for row in found if row is not None]
+            columns = [kept.column("frame_id"), kept.column("timestamp"), pa.array(boxes, ARROW_BOXES), pa.repeat(seconds, len(boxes))]
+            yield pa.RecordBatch.from_arrays(columns, ["frame_id", "timestamp", "detections", "process_latency_seconds"])
 
     schema = f"frame_id INT, timestamp DOUBLE, detections {BOX_SCHEMA}, process_latency_seconds DOUBLE"
-    return frames.select("frame_id", "timestamp", "value").mapInPandas(run, schema)
+    slim = frames.select("frame_id", "timestamp", "value")
+    return (slim.repartition(partitions) if partitions else slim).mapInArrow(run, schema)
 
 
 def detection_records(found: DataFrame) -> DataFrame:
