@@ -131,7 +131,7 @@ def storage_job(spark: SparkSession, messages: str, table: str, checkpoint: str,
 
 
 def detector_job(
-    spark: SparkSession, messages: str, output: str, checkpoint: str, load_detector: frame_stream.Detector, once: bool = False
+    spark: SparkSession, messages: str, output: str, checkpoint: str, load_detector: frame_stream.LoadDetector, once: bool = False
 ) -> StreamingQuery:
     """Frame messages in a folder into JSON messages, by a detector of the caller."""
     found = frame_stream.detection_messages(frame_stream.frame_files(spark, messages), load_detector)

@@ -9,7 +9,7 @@ from tallyframe.functions import labels, numbers, text, times
 from tallyframe.operators import aggregates, joins, ordered, rows, words
 from tallyframe.plans import frames, ratings, reviews, sales
 from tallyframe.registry.core import half_up, query
-from tallyframe.registry.flows import AGE_CODE_SQL, count_detector, words_sql
+from tallyframe.registry.flows import AGE_CODE_SQL, counting_detector, words_sql
 from tallyframe.registry.tables import Tables
 from tallyframe.sources import delimited
 from tallyframe.streaming.frames import decode_headers, detect, detection_records
@@ -475,7 +475,7 @@ query(
 )
 query(
     "udf_6",
-    lambda t: detection_records(detect(decode_headers(t.frame_messages), count_detector)).select("timestamp", "person_count"),
+    lambda t: detection_records(detect(decode_headers(t.frame_messages), counting_detector())).select("timestamp", "person_count"),
     """SELECT epoch_us(ts) / 1e6 AS "timestamp", k % 5 AS person_count FROM keyed_events WHERE event_type <> 'error'""",
     "keyed_events",
 )

@@ -348,21 +348,23 @@ TREND_SQL = """SELECT strftime(ts, '%H:%M:%S') AS time, strftime(ts, '%Y-%m-%d %
 query("cam_08", lambda t: frames.recent_trend(t.frames), TREND_SQL, "frames")
 
 
-def count_detector():
-    """A stand-in for a model: the payload is the number of persons, each gets a box of its own."""
+def counting_detector() -> frame_stream.LoadDetector:
+    """A stand-in for a model: the payload is the number of persons, each gets a box of its own.
 
-    def find(payloads: list[bytes]) -> list:
-        found = []
-        for payload in payloads:
+    An inner function travels to the tasks by value, so they need not find this package.
+    """
+
+    def load() -> frame_stream.Detector:
+        def boxes(payload: bytes) -> list[frame_stream.Box] | None:
             try:
                 persons = int(payload.decode("utf-8"))
             except ValueError:
-                found.append(None)
-                continue
-            found.append([((10 * i, 0, 10 * i + 8, 16), 0.5 + i / 16) for i in range(persons)])
-        return found
+                return None
+            return [((10 * i, 0, 10 * i + 8, 16), 0.5 + i / 16) for i in range(persons)]
+
+        return lambda payloads: map(boxes, payloads)
 
-    return find
+    return load
 
 
 def publish_frames(t: Tables) -> str:
@@ -395,7 +397,7 @@ def detected_messages(t: Tables) -> DataFrame:
     """Run the detector job over frame files until none is left; gives the JSON messages."""
     frames_in, messages = t.scratch("frames"), t.scratch("messages")
     t.frame_messages.write.parquet(frames_in)
-    found = frame_stream.detection_messages(frame_stream.frame_files(t.spark, frames_in), count_detector)
+    found = frame_stream.detection_messages(frame_stream.frame_files(t.spark, frames_in), counting_detector())
     detections.append_stream(found, messages, t.scratch("progress"), {"availableNow": True}, "text").awaitTermination()
     return t.spark.read.text(messages)
 

@@ -17,6 +17,7 @@ FRAME_SCHEMA = "value BINARY, headers ARRAY<STRUCT<key: STRING, value: BINARY>>"
 
 Box = tuple[Sequence[int], float]
 Detector = Callable[[list[bytes]], Iterable[Sequence[Box] | None]]
+LoadDetector = Callable[[], Detector]
 ARROW_BOXES = pa.list_(pa.struct([("box", pa.list_(pa.int32())), ("confidence", pa.float64())]))
 
 
@@ -50,7 +51,7 @@ def decode_headers(messages: DataFrame) -> DataFrame:
     )
 
 
-def detect(frames: DataFrame, load_detector: Callable[[], Detector], partitions: int | None = None) -> DataFrame:
+def detect(frames: DataFrame, load_detector: LoadDetector, partitions: int | None = None) -> DataFrame:
     """Run a detector over the frames and skip those it cannot decode.
 
     The detector is loaded once per task and called with all payloads of an Arrow batch; it gives
@@ -86,6 +87,6 @@ def detection_records(found: DataFrame) -> DataFrame:
     )
 
 
-def detection_messages(messages: DataFrame, load_detector: Callable[[], Detector]) -> DataFrame:
+def detection_messages(messages: DataFrame, load_detector: LoadDetector) -> DataFrame:
     """The whole job: messages -> headers -> detections -> JSON text, batch or stream."""
     return as_json(detection_records(detect(decode_headers(messages), load_detector)))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.plans.frames import live_metrics
-from tallyframe.registry.flows import count_detector
+from tallyframe.registry.flows import counting_detector
 from tallyframe.streaming import detections, frames, live
 
 ONCE = {"availableNow": True}
@@ -65,7 +65,7 @@ def test_headers_have_defaults_and_the_last_one_counts(spark, rows):
 
 
 def test_detector_skips_undecodable_frames(spark, rows):
-    found = frames.detection_records(frames.detect(frames.decode_headers(messages(spark)), count_detector))
+    found = frames.detection_records(frames.detect(frames.decode_headers(messages(spark)), counting_detector()))
     assert rows(found, "frame_id", "person_count") == sorted([(1, 2), (4, 0), (None, 1), (None, 1)], key=repr)
     boxes = found.where("frame_id = 1").select("detections").first()[0]
     assert [(list(box.box), box.confidence) for box in boxes] == [([0, 0, 8, 16], 0.5), ([10, 0, 18, 16], 0.5625)]
@@ -76,7 +76,7 @@ def test_detector_skips_undecodable_frames(spark, rows):
 def test_detector_is_called_with_whole_batches(spark, rows, batch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
-        found = frames.detect(frames.decode_headers(messages(spark).coalesce(1)), count_detector)
+        found = frames.detect(frames.decode_headers(messages(spark).coalesce(1)), counting_detector())
         assert found.count() == 4
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -84,10 +84,10 @@ def test_detector_is_called_with_whole_batches(spark, rows, batch):
 
 def test_detector_stream_equals_the_batch(spark, rows, tmp_path):
     messages(spark).write.parquet(str(tmp_path / "frames"))
-    stream = frames.detection_messages(frames.frame_files(spark, str(tmp_path / "frames")), count_detector)
+    stream = frames.detection_messages(frames.frame_files(spark, str(tmp_path / "frames")), counting_detector())
     detections.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "progress"), ONCE, "text").awaitTermination()
     published = detections.parse_messages(spark.read.text(str(tmp_path / "out")))
-    batch = detections.parse_messages(frames.detection_messages(messages(spark), count_detector))
+    batch = detections.parse_messages(frames.detection_messages(messages(spark), counting_detector()))
     assert rows(published, "frame_id", "person_count", "detections") == rows(batch, "frame_id", "person_count", "detections")
 
 
