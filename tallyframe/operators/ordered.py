@@ -20,17 +20,13 @@ def with_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_inde
     Rows are range-partitioned and sorted; equal keys are told apart by their input position, so a
     key that holds much of the data is still split. The numbered partitions are cut off into the
     shared folder, as a recomputed sample could draw other borders. Each partition starts where
-    those before it end; that table has one row per partition.
+    those before it end; that table has one row per partition. Without ``partitions`` adaptive
+    execution merges small neighbouring ranges.
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*order, F.col("_tie")]
-    placed = cut(
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(count, *keys)
-        .sortWithinPartitions(*keys)
-        .drop("_tie")
-        .withColumn("_at", F.monotonically_increasing_id())
-    )
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = tied.repartitionByRange(partitions, *keys) if partitions else tied.repartitionByRange(*keys)
+    placed = cut(ranged.sortWithinPartitions(*keys).drop("_tie").withColumn("_at", F.monotonically_increasing_id()))
     numbered = placed.select(
         *df.columns,
         F.shiftright("_at", ROW_BITS).alias("_part"),

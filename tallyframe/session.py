@@ -22,6 +22,7 @@ def build_session(app_name: str = "tallyframe", master: str | None = None, **opt
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{key.replace("__", "."): value for key, value in options.items()},
     }
     for key, value in settings.items():

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 
@@ -9,6 +10,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 FOLDER = "/root/testdata/sf0.001"
 
+pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="needs the given tables")
+
 
 @pytest.fixture(scope="module")
 def database():
