@@ -239,7 +239,7 @@ BOXES_SQL = "[{'box': [10 * i, 0, 10 * i + 8, 16], 'confidence': 0.5::DOUBLE + i
 
 
 def boxed_events(t: Tables) -> DataFrame:
-    keyed = t.given("events").selectExpr("CAST(event_id AS INT) AS frame_id", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    keyed = t.keyed_events.selectExpr("CAST(event_id AS INT) AS frame_id", "k")
     return keyed.selectExpr("frame_id", "k", f"{BOXES} AS detections")
 
 

@@ -317,7 +317,7 @@ query(
 
 def _per_source(t: Tables) -> DataFrame:
     """A moving average within each kind of event, in buckets small enough to have many borders."""
-    events = t.given("events").select("event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    events = t.keyed_events.select("event_id", "event_type", "k")
     order = [F.asc("event_id")]
     averaged = ordered.centred_average(events, order, "k", "moving", 3, 1, ["event_type"], bucket_rows=1000)
     return averaged.select("event_id", "event_type", "k", F.round("moving", 6).alias("moving"))

@@ -184,10 +184,15 @@ class Tables:
 
     # Frames ------------------------------------------------------------------------------------
 
+    @cached_property
+    def keyed_events(self) -> DataFrame:
+        """Events with the number in their properties, read from the JSON once per row."""
+        return self.given("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
     @cached_property
     def frames(self) -> DataFrame:
-        k = F.get_json_object("props", "$.k").cast("int")
-        return self.given("events").select(
+        k = F.col("k")
+        return self.keyed_events.select(
             F.col("event_id").cast("int").alias("frame_id"),
             timestamp_epoch(F.col("ts")).alias("timestamp"),
             F.when((F.col("event_type") == "error") & (k % 10 == 0), F.lit(None)).otherwise(k % 5).alias("person_count"),
@@ -198,18 +203,18 @@ class Tables:
     @cached_property
     def frame_messages(self) -> DataFrame:
         """One message per event: its count as payload, or bytes that are no text for an error."""
-        k = F.get_json_object("props", "$.k").cast("int")
+        k = F.col("k")
         payload = F.when(F.col("event_type") == "error", F.unhex(F.lit("FFFE"))).otherwise(F.encode((k % 5).cast("string"), "UTF-8"))
 
         def header(key: str, text):
             return F.struct(F.lit(key).alias("key"), F.encode(text, "UTF-8").alias("value"))
 
         number = header("frame_id", F.col("event_id").cast("string"))
-        moment = header("timestamp", F.format_string("%d.%06d", F.expr("unix_micros(CAST(ts AS TIMESTAMP)) DIV 1000000"),
-                                                     F.expr("unix_micros(CAST(ts AS TIMESTAMP)) % 1000000")))
+        micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("string")
+        moment = header("timestamp", F.regexp_replace(micros, r"(\d{6})$", ".$1"))
         source = header("source", F.col("event_type"))
         headers = F.when(k % 7 == 0, F.array(number, moment)).when(k % 11 == 0, F.array(moment, source))
-        return self.given("events").select(payload.alias("value"), headers.otherwise(F.array(number, moment, source)).alias("headers"))
+        return self.keyed_events.select(payload.alias("value"), headers.otherwise(F.array(number, moment, source)).alias("headers"))
 
 
 _WORDS = ", ".join(f"('{line}')" for line in sorted({line.replace("\r", "") for line in STOPWORD_LINES} - {""}))

@@ -36,8 +36,8 @@ def frame_topic(spark: SparkSession, servers: str, topic: str, **options: str) -
 
 def _header(key: str) -> Column:
     """Text of the last header of that name, NULL without one."""
-    matching = F.filter("headers", lambda header: header["key"] == key)
-    return F.decode(F.get(F.reverse(matching), F.lit(0))["value"], "UTF-8")
+    place = F.array_position(F.reverse(F.col("headers.key")), key) - 1
+    return F.decode(F.get(F.reverse(F.col("headers.value")), place), "UTF-8")
 
 
 def decode_headers(messages: DataFrame) -> DataFrame:
