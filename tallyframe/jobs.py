@@ -7,6 +7,7 @@ many reports read it.
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,14 @@ def rating_reports(
 
 
 def rating_tables(
-    spark: SparkSession, movies: str, rated: Sequence[str], users: str, occupations: str, output: str, least: int = 50, mode: str = "fail"
+    spark: SparkSession,
+    movies: str,
+    rated: Sequence[str],
+    users: str,
+    occupations: str,
+    output: str,
+    least: int = 50,
+    mode: str = "fail",
 ) -> None:
     """Reports of known movies only, one row per movie and group, with occupations and years."""
     movie_rows = delimited.read_delimited_auto(spark, movies, delimited.MOVIES, mode)
@@ -89,7 +97,12 @@ def read_shop(spark: SparkSession, folder: str, schemas: dict[str, str] | None =
 
 
 def sales_reports(
-    spark: SparkSession, folder: str, output: str, year: int = 2024, relative_error: float = 0.01, schemas: dict[str, str] | None = None
+    spark: SparkSession,
+    folder: str,
+    output: str,
+    year: int = 2024,
+    relative_error: float = 0.01,
+    schemas: dict[str, str] | None = None,
 ) -> None:
     shop = read_shop(spark, folder, schemas)
     orders, items = sales.clean_orders(shop["Orders"]), sales.clean_items(shop["Order_Items"])
@@ -131,7 +144,12 @@ def storage_job(spark: SparkSession, messages: str, table: str, checkpoint: str,
 
 
 def detector_job(
-    spark: SparkSession, messages: str, output: str, checkpoint: str, load_detector: frame_stream.LoadDetector, once: bool = False
+    spark: SparkSession,
+    messages: str,
+    output: str,
+    checkpoint: str,
+    load_detector: frame_stream.LoadDetector,
+    once: bool = False,
 ) -> StreamingQuery:
     """Frame messages in a folder into JSON messages, by a detector of the caller."""
     found = frame_stream.detection_messages(frame_stream.frame_files(spark, messages), load_detector)
@@ -149,6 +167,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         "sales-reports": ["folder", "output"],
         "frame-reports": ["stored", "output"],
         "store": ["messages", "table", "checkpoint"],
+        "detect": ["messages", "output", "checkpoint", "detector"],
     }
     for job, names in needs.items():
         options = jobs.add_parser(job)
@@ -166,8 +185,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
         sales_reports(spark, given.folder, given.output)
     elif given.job == "frame-reports":
         frame_reports(spark, given.stored, given.output)
-    else:
+    elif given.job == "store":
         storage_job(spark, given.messages, given.table, given.checkpoint).awaitTermination()
+    else:
+        module, loader = given.detector.split(":")
+        load_detector = getattr(importlib.import_module(module), loader)
+        detector_job(spark, given.messages, given.output, given.checkpoint, load_detector).awaitTermination()
 
 
 if __name__ == "__main__":

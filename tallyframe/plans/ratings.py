@@ -50,7 +50,8 @@ def best_movie(movies: DataFrame, ratings: DataFrame, least: int = 5) -> DataFra
 def genre_average(movies: DataFrame, ratings: DataFrame, trimmed: bool = True) -> DataFrame:
     """Mean over all ratings of all movies of a genre; ratings are summed per movie first."""
     per_movie = sums_by(ratings, ["movie_id"], "rating")
-    genres = movies.where("genres is not null").select("movie_id", F.explode(list_items(F.col("genres"), trimmed)).alias("genre"))
+    listed = movies.where("genres is not null")
+    genres = listed.select("movie_id", F.explode(list_items(F.col("genres"), trimmed)).alias("genre"))
     return average_of_sums(per_movie.join(genres, "movie_id"), ["genre"]).orderBy("genre")
 
 
@@ -78,7 +79,8 @@ def age_average_wide(movies: DataFrame, ratings: DataFrame, users: DataFrame) ->
 def movie_average(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     """Mean and count of the movies of the movie table that have ratings."""
     per_movie = average_by(ratings, ["movie_id"], "rating")
-    return per_movie.join(movies.select("movie_id", "title"), "movie_id").select("movie_id", "title", "avg", "n").orderBy("movie_id")
+    known = per_movie.join(movies.select("movie_id", "title"), "movie_id")
+    return known.select("movie_id", "title", "avg", "n").orderBy("movie_id")
 
 
 def best_movie_known(movies: DataFrame, ratings: DataFrame, least: int = 50) -> DataFrame:
@@ -106,7 +108,8 @@ def occupation_average(ratings: DataFrame, users: DataFrame, occupations: DataFr
     per user, and a user with very many ratings is no hot key."""
     per_user = sums_by(ratings, ["user_id"], "rating")
     named = users.select("user_id", "occupation").join(occupations, "occupation").select("user_id", "occupation_name")
-    return average_of_sums(look_up(per_user, named, "user_id", ["occupation_name"]), ["occupation_name"]).orderBy("occupation_name")
+    known = look_up(per_user, named, "user_id", ["occupation_name"])
+    return average_of_sums(known, ["occupation_name"]).orderBy("occupation_name")
 
 
 def year_average(ratings: DataFrame) -> DataFrame:
@@ -136,9 +139,12 @@ def gender_wide_line() -> Column:
 
 
 def age_wide_line() -> Column:
+    def shown(mean: Column) -> Column:
+        return text_or_missing(F.when(mean.isNotNull(), fixed2_half_up(mean)))
+
     labels = [*AGE_BANDS, LAST_AGE_BAND]
-    means = [F.when(F.col(BAND_COLUMNS[label]).isNotNull(), fixed2_half_up(F.col(BAND_COLUMNS[label]))) for label in labels]
-    return F.format_string("%s " + " ".join(f"{label}: %s" for label in labels), "title", *[text_or_missing(mean) for mean in means])
+    template = "%s " + " ".join(f"{label}: %s" for label in labels)
+    return F.format_string(template, "title", *[shown(F.col(BAND_COLUMNS[label])) for label in labels])
 
 
 def bar_line(*leading: Column) -> Column:

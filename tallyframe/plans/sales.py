@@ -57,14 +57,22 @@ def clean_reviews(reviews: DataFrame) -> DataFrame:
 
 def overview(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
     """Number of distinct orders, customers and sellers, a missing key counting as one."""
-    parts = [(METRIC_ORDERS, orders, "Order_ID"), (METRIC_CUSTOMERS, customers, "Customer_Trx_ID"), (METRIC_SELLERS, items, "Seller_ID")]
-    return union_all(*[table.agg(F.lit(name).alias("Metric"), distinct_values(key).alias("Value")) for name, table, key in parts])
+
+    def metric(name: str, table: DataFrame, key: str) -> DataFrame:
+        return table.agg(F.lit(name).alias("Metric"), distinct_values(key).alias("Value"))
+
+    return union_all(
+        metric(METRIC_ORDERS, orders, "Order_ID"),
+        metric(METRIC_CUSTOMERS, customers, "Customer_Trx_ID"),
+        metric(METRIC_SELLERS, items, "Seller_ID"),
+    )
 
 
 def orders_by_country(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Distinct orders per country; orders without a customer form a group without a country."""
     place = ["Customer_Country", "Customer_Country_Code"]
-    placed = orders.select("Order_ID", "Customer_Trx_ID").join(customers.select("Customer_Trx_ID", *place), "Customer_Trx_ID", "left")
+    places = customers.select("Customer_Trx_ID", *place)
+    placed = orders.select("Order_ID", "Customer_Trx_ID").join(places, "Customer_Trx_ID", "left")
     return placed.groupBy(*place).agg(F.count_distinct("Order_ID").alias("Total_Orders")).orderBy(F.desc("Total_Orders"))
 
 

@@ -46,7 +46,9 @@ def with_ingest_columns(records: DataFrame) -> DataFrame:
     )
 
 
-def append_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, form: str = "parquet") -> StreamingQuery:
+def append_stream(
+    records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, form: str = "parquet"
+) -> StreamingQuery:
     """Append a stream to a folder of files, each record exactly once across restarts."""
     writer = records.writeStream.format(form).outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start(path)

@@ -67,8 +67,13 @@ def detect(frames: DataFrame, load_detector: LoadDetector, partitions: int | Non
             seconds = (time.perf_counter() - started) / max(len(found), 1)
             kept = batch.filter(pa.array([boxes is not None for boxes in found], pa.bool_()))
             boxes = [[{"box": box, "confidence": score} for box, score in row] for row in found if row is not None]
-            columns = [kept.column("frame_id"), kept.column("timestamp"), pa.array(boxes, ARROW_BOXES), pa.repeat(seconds, len(boxes))]
-            yield pa.RecordBatch.from_arrays(columns, ["frame_id", "timestamp", "detections", "process_latency_seconds"])
+            columns = {
+                "frame_id": kept.column("frame_id"),
+                "timestamp": kept.column("timestamp"),
+                "detections": pa.array(boxes, ARROW_BOXES),
+                "process_latency_seconds": pa.repeat(seconds, len(boxes)),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
 
     schema = f"frame_id INT, timestamp DOUBLE, detections {BOX_SCHEMA}, process_latency_seconds DOUBLE"
     slim = frames.select("frame_id", "timestamp", "value")

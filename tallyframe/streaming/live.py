@@ -17,7 +17,9 @@ def running_counters(records: DataFrame, name: str, checkpoint: str, trigger: di
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def trend_stream(records: DataFrame, table: str, trend: str, checkpoint: str, trigger: dict | None = None, k: int = 50) -> StreamingQuery:
+def trend_stream(
+    records: DataFrame, table: str, trend: str, checkpoint: str, trigger: dict | None = None, k: int = 50
+) -> StreamingQuery:
     """Append each batch to ``table`` and replace ``trend`` by the newest ``k`` of all records.
 
     Only the batch and the previous trend are read, as older records can never come back. A

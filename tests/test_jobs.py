@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from tallyframe import jobs
+from tallyframe.registry.flows import counting_detector
+from tallyframe.streaming.frames import FRAME_SCHEMA
 
 
 def text_of(folder):
@@ -102,3 +106,22 @@ def test_frame_jobs(spark, tmp_path):
     assert text_of(tmp_path / "out" / "summary_report")[1] == "  Tổng số frame xử lý   : 6"
     jobs.frame_reports(spark, str(tmp_path / "in"), str(tmp_path / "again"), form="json")
     assert text_of(tmp_path / "again" / "summary_stats") == text_of(tmp_path / "out" / "summary_stats")
+
+
+def test_detector_job(spark, tmp_path):
+    rows = [(b"3", [("frame_id", b"1"), ("timestamp", b"5.5")]), (b"none", [("frame_id", b"2")])]
+    spark.createDataFrame(rows, FRAME_SCHEMA).write.parquet(str(tmp_path / "in"))
+    places = [str(tmp_path / name) for name in ("in", "out", "progress")]
+    jobs.detector_job(spark, *places, counting_detector(), once=True).awaitTermination()
+    (message,) = text_of(tmp_path / "out")
+    record = json.loads(message)
+    assert (record["frame_id"], record["timestamp"], record["person_count"], len(record["detections"])) == (1, 5.5, 3, 3)
+
+
+def test_command_line_names_every_job(capsys):
+    with pytest.raises(SystemExit):
+        jobs.main(["--help"])
+    shown = capsys.readouterr().out
+    assert all(job in shown for job in ("rating-reports", "rating-tables", "review-reports", "sales-reports", "frame-reports", "store", "detect"))
+    with pytest.raises(SystemExit):
+        jobs.main(["store", "--messages", "x"])

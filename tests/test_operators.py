@@ -3,7 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import aggregates, joins, rows as row_ops
+from tallyframe.operators import aggregates, joins
+from tallyframe.operators import rows as row_ops
+from tallyframe.plans.sales import orders_by_country
 from tallyframe.session import cut, scratch_path, shared_dir
 
 
@@ -37,6 +39,20 @@ def test_a_hot_user_is_split_over_several_tasks(spark, settings):
     assert "skew=true" in means._jdf.queryExecution().executedPlan().toString()
 
 
+def test_orders_without_customer_are_split_over_several_tasks(spark, settings, rows):
+    """A third of all orders has no customer; the left join spreads them as well."""
+    settings(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", adaptive__advisoryPartitionSizeInBytes="4k",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="8k", adaptive__skewJoin__skewedPartitionFactor="2.0", shuffle__partitions="16",
+    )
+    orders = spark.range(0, 30000, 1, 8).selectExpr("id AS Order_ID", "CASE WHEN id % 3 > 0 THEN id % 1000 END AS Customer_Trx_ID")
+    customers = spark.range(1000).selectExpr("id AS Customer_Trx_ID", "concat('L', id % 3) AS Customer_Country", "id % 3 AS Customer_Country_Code")
+    report = orders_by_country(orders, customers)
+    counts = {row.Customer_Country: row.Total_Orders for row in report.collect()}
+    assert counts[None] == 10000 and sum(counts.values()) == 30000
+    assert "skew=true" in report._jdf.queryExecution().executedPlan().toString()
+
+
 def test_look_up_drops_or_keeps_unmatched(spark, rows):
     facts = spark.createDataFrame([(1, 5), (2, 6), (None, 7)], "k INT, v INT")
     names = spark.createDataFrame([(1, "one"), (3, "three"), (None, "none")], "k INT, name STRING")

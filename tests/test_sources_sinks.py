@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import re
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyframe.sinks import files as sinks
 from tallyframe.sources import delimited, files
 
+CONTROL = "".join(map(chr, range(0x21)))
 RATING_LINES = [
     "UserID,MovieID,Rating,Timestamp",
     "1::10::4.5::100",
@@ -61,6 +66,32 @@ def test_users_without_age_stay_until_the_age_is_needed(spark, rows):
     assert found == [(1, "F", 25), (2, "M", None), (3, "m", None)]
 
 
+def expected_rating(line):
+    """The rules of the lenient reader in plain Python, None for a line that goes."""
+    if line.startswith("UserID") or not line.strip(CONTROL):
+        return None
+    fields = line.split("::" if "::" in line else ",")
+    while fields and not fields[-1]:
+        fields.pop()
+    fields = [field.strip(CONTROL) for field in fields]
+    if len(fields) < 3 or not fields[1].isdigit() or not re.fullmatch(r"\d+(\.\d+)?", fields[2]):
+        return None
+    number = [int(fields[place]) if len(fields) > place and fields[place].isdigit() else None for place in (0, 1, 3)]
+    return number[0], number[1], float(fields[2]), number[2]
+
+
+FIELD = st.sampled_from(["", " ", "1", "22", " 3 ", "4.5", "x", "UserID", "\t7", "5\r"])
+LINE = st.builds(lambda separator, fields, tail: separator.join(fields) + tail, st.sampled_from([",", "::"]), st.lists(FIELD, max_size=6), st.sampled_from(["", ",", "::", "\r"]))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(LINE, min_size=5, max_size=60))
+def test_lenient_reading_follows_its_rules(spark, texts):
+    parsed = delimited.parse_lines(lines(spark, texts), delimited.RATINGS)
+    expected = [row for row in map(expected_rating, texts) if row]
+    assert sorted(map(tuple, parsed.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_several_files_and_folders(spark, rows, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"1,10,4.0,1\r\n2,10,3.0,1\r\n")
     (tmp_path / "b.txt").write_text("3::10::5.0::1\n")
