@@ -107,6 +107,7 @@ def distribution(frames: DataFrame) -> DataFrame:
 def report_rows(frames: DataFrame) -> DataFrame:
     """The report as (section, place, metric, value) rows."""
     one = report_figures(frames)
+    # Metric names and units of the report.
     entries = [
         (OVERALL, "Tổng số frame xử lý", thousands(F.col("Total_Frames"))),
         (OVERALL, "Tổng lượt phát hiện", thousands(F.col("Total_Detections"))),
