@@ -1,7 +1,7 @@
 """Whole jobs from input files to report files: ``python -m tallyframe.jobs <job> --help``.
 
-Each job reads its files once per report as lazy plans; only the frame job cuts a table off, as
-many reports read it.
+Text files are parsed once, into typed tables in the shared folder; the reports then read only the
+columns they need from there.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyframe.plans import frames, ratings, reviews, sales
-from tallyframe.session import build_session
+from tallyframe.session import build_session, stored
 from tallyframe.sinks.files import overwrite_csv, save_result, write_delimited, write_lines
 from tallyframe.sources import delimited, files
 from tallyframe.streaming import detections
@@ -24,13 +24,17 @@ from tallyframe.streaming import frames as frame_stream
 SALES_TABLES = ("Orders", "Customer_List", "Order_Items", "Order_Reviews", "Products")
 
 
+def _parsed(spark: SparkSession, paths: str | Sequence[str], layout: delimited.Layout, mode: str) -> DataFrame:
+    return stored(delimited.read_delimited_auto(spark, paths, layout, mode), "parsed")
+
+
 def rating_reports(
     spark: SparkSession, movies: str, rated: Sequence[str], users: str, output: str, least: int = 5, mode: str = "drop"
 ) -> None:
     """Reports that keep unknown movies, with genders and age bands side by side."""
-    movie_rows = delimited.read_delimited_auto(spark, movies, delimited.MOVIES, mode)
-    rating_rows = delimited.read_delimited_auto(spark, rated, delimited.RATINGS, mode)
-    user_rows = delimited.read_delimited_auto(spark, users, delimited.USERS, mode)
+    movie_rows = _parsed(spark, movies, delimited.MOVIES, mode)
+    rating_rows = _parsed(spark, rated, delimited.RATINGS, mode)
+    user_rows = _parsed(spark, users, delimited.USERS, mode)
     movie_order = F.col("movie_id").cast("string")
 
     def by_text_id(report: DataFrame) -> DataFrame:
@@ -58,10 +62,10 @@ def rating_tables(
     mode: str = "fail",
 ) -> None:
     """Reports of known movies only, one row per movie and group, with occupations and years."""
-    movie_rows = delimited.read_delimited_auto(spark, movies, delimited.MOVIES, mode)
-    rating_rows = delimited.read_delimited_auto(spark, rated, delimited.RATINGS, mode)
-    user_rows = delimited.read_delimited_auto(spark, users, delimited.USERS, mode)
-    occupation_rows = delimited.read_delimited_auto(spark, occupations, delimited.OCCUPATIONS, mode)
+    movie_rows = _parsed(spark, movies, delimited.MOVIES, mode)
+    rating_rows = _parsed(spark, rated, delimited.RATINGS, mode)
+    user_rows = _parsed(spark, users, delimited.USERS, mode)
+    occupation_rows = _parsed(spark, occupations, delimited.OCCUPATIONS, mode)
     write_lines(ratings.movie_average(movie_rows, rating_rows), f"{output}/movies", ratings.movie_bar_line())
     best = ratings.best_movie_report(ratings.best_movie_known(movie_rows, rating_rows, least), least)
     write_lines(best.orderBy("line_no").coalesce(1), f"{output}/best_movie", F.col("value"))
@@ -77,7 +81,7 @@ def rating_tables(
 
 
 def review_reports(spark: SparkSession, reviewed: str, stopwords: str, output: str, more_than: int = 500, k: int = 5) -> None:
-    rows = files.read_semicolon_typed(spark, reviewed)
+    rows = stored(files.read_semicolon_typed(spark, reviewed), "reviews")
     stop = files.read_word_list(spark, stopwords)
     write_delimited(reviews.review_words(rows, stop), f"{output}/words", sep=";")
     write_delimited(reviews.frequent_words(rows, stop, more_than), f"{output}/frequent_words")
@@ -93,7 +97,8 @@ def review_reports(spark: SparkSession, reviewed: str, stopwords: str, output: s
 
 def read_shop(spark: SparkSession, folder: str, schemas: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """The five exported tables, their types inferred where no schema is given."""
-    return {name: files.read_quoted_csv(spark, f"{folder}/{name}.csv", (schemas or {}).get(name)) for name in SALES_TABLES}
+    given = schemas or {}
+    return {name: stored(files.read_quoted_csv(spark, f"{folder}/{name}.csv", given.get(name)), name) for name in SALES_TABLES}
 
 
 def sales_reports(
@@ -126,9 +131,12 @@ def sales_reports(
         save_result(report, f"{output}/{name}", name.replace("_", " "))
 
 
-def frame_reports(spark: SparkSession, stored: str, output: str, form: str = "parquet") -> None:
+def frame_reports(spark: SparkSession, table: str, output: str, form: str = "parquet") -> None:
     """Reports over the stored detections, or over JSON lines of them."""
-    rows = files.read_detections(spark, stored) if form == "parquet" else files.read_json_lines(spark, stored)
+    if form == "parquet":
+        rows = files.read_detections(spark, table)
+    else:
+        rows = stored(files.read_json_lines(spark, table).select(*files.LOG_FIELDS), "frames")
     overwrite_csv(frames.summary(rows), f"{output}/summary_stats")
     overwrite_csv(frames.peak_frames(rows), f"{output}/peak_frames")
     overwrite_csv(frames.rolling_average(rows), f"{output}/rolling_averages")
@@ -165,7 +173,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         "rating-tables": ["movies", "ratings", "users", "occupations", "output"],
         "review-reports": ["reviews", "stopwords", "output"],
         "sales-reports": ["folder", "output"],
-        "frame-reports": ["stored", "output"],
+        "frame-reports": ["table", "output"],
         "store": ["messages", "table", "checkpoint"],
         "detect": ["messages", "output", "checkpoint", "detector"],
     }
@@ -184,7 +192,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif given.job == "sales-reports":
         sales_reports(spark, given.folder, given.output)
     elif given.job == "frame-reports":
-        frame_reports(spark, given.stored, given.output)
+        frame_reports(spark, given.table, given.output)
     elif given.job == "store":
         storage_job(spark, given.messages, given.table, given.checkpoint).awaitTermination()
     else:

@@ -56,6 +56,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and read it from there, so that
+    several reports share one parse of a text file and read only their columns."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared folder, so that several readers do not recompute it."""
     shared_dir(df.sparkSession)

@@ -125,3 +125,12 @@ def test_command_line_names_every_job(capsys):
     assert all(job in shown for job in ("rating-reports", "rating-tables", "review-reports", "sales-reports", "frame-reports", "store", "detect"))
     with pytest.raises(SystemExit):
         jobs.main(["store", "--messages", "x"])
+
+
+def test_strict_tables_stop_at_a_malformed_line_before_any_report(spark, tmp_path):
+    rating_files(tmp_path)
+    (tmp_path / "r2.txt").write_text("1, 2, many, 1600000000\n")
+    places = [str(tmp_path / name) for name in ("users.txt", "jobs.txt")]
+    with pytest.raises(Exception, match="malformed line"):
+        jobs.rating_tables(spark, str(tmp_path / "movies.txt"), str(tmp_path / "r2.txt"), *places, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators import aggregates, joins
 from tallyframe.operators import rows as row_ops
 from tallyframe.plans.sales import orders_by_country
-from tallyframe.session import cut, scratch_path, shared_dir
+from tallyframe.session import cut, scratch_path, shared_dir, stored
 
 
 @pytest.fixture
@@ -139,3 +139,9 @@ def test_a_cluster_without_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_a_stored_table_is_read_by_column(spark):
+    table = stored(spark.range(10).selectExpr("id", "id * 2 AS twice", "'x' AS unused"), "t")
+    assert table.agg(F.sum("twice")).first()[0] == 90
+    assert "ReadSchema: struct<twice:bigint>" in table.select("twice")._jdf.queryExecution().executedPlan().toString()
