@@ -195,10 +195,10 @@ query(
     "dt_6",
     lambda t: t.frames.select(
         "frame_id",
-        times.epoch_text(F.when(F.col("person_count").isNotNull(), F.col("timestamp"))).alias("second"),
+        times.epoch_text(F.when(F.col("process_latency_seconds").isNotNull(), F.col("timestamp"))).alias("second"),
         times.epoch_text(F.col("timestamp"), times.CLOCK_FORMAT).alias("clock"),
     ),
-    """SELECT frame_id, CASE WHEN person_count IS NULL THEN 'N/A' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS second,
+    """SELECT frame_id, CASE WHEN process_latency_seconds IS NULL THEN 'N/A' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS second,
               strftime(ts, '%H:%M:%S') AS clock FROM frames""",
     "frames",
 )
@@ -252,12 +252,12 @@ query(
     "typ_1",
     lambda t: t.order_reviews.select(
         "Order_ID",
-        numbers.truncated_int(F.col("Review_Score")).alias("whole"),
-        numbers.to_long(F.col("Review_Score")).alias("long"),
+        F.coalesce(numbers.truncated_int(F.col("Review_Score")), F.lit(-1)).alias("whole"),
+        F.coalesce(numbers.to_long(F.col("Review_Score")), F.lit(-1)).alias("long"),
         numbers.to_double(F.col("Review_Score")).alias("real"),
     ),
-    """SELECT Order_ID, CAST(trunc(TRY_CAST(Review_Score AS DOUBLE)) AS INTEGER) AS whole,
-              CASE WHEN Review_Score NOT LIKE '%.%' THEN TRY_CAST(Review_Score AS BIGINT) END AS long,
+    """SELECT Order_ID, coalesce(CAST(trunc(TRY_CAST(Review_Score AS DOUBLE)) AS INTEGER), -1) AS whole,
+              coalesce(CASE WHEN Review_Score NOT LIKE '%.%' THEN TRY_CAST(Review_Score AS BIGINT) END, -1) AS long,
               TRY_CAST(Review_Score AS DOUBLE) AS real FROM order_reviews""",
     "order_reviews",
 )
@@ -293,7 +293,7 @@ query(
 )
 query(
     "nul_1",
-    lambda t: t.frames.select("frame_id", F.coalesce("person_count", F.lit(0)).alias("person_count")),
-    "SELECT frame_id, coalesce(person_count, 0) AS person_count FROM frames",
+    lambda t: t.frames.select("frame_id", F.coalesce("process_latency_seconds", F.lit(0.0)).alias("seconds")),
+    "SELECT frame_id, coalesce(process_latency_seconds, 0) AS seconds FROM frames",
     "frames",
 )

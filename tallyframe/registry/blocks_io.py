@@ -75,13 +75,13 @@ def _semicolon(t: Tables) -> DataFrame:
     text = r"regexp_replace(review, '[;\r\n]', ' ')"
     lines = t.reviews.selectExpr(f"concat_ws(';', {number}, {text}, category, aspect, sentiment) AS value")
     read = sources.read_semicolon_typed(t.spark, _written_lines(t, lines, "reviews"))
-    return read.select("id", F.md5("review").alias("review_md5"), "category", "aspect", "sentiment")
+    return read.select(F.coalesce("id", F.lit(-1)).alias("id"), F.md5("review").alias("review_md5"), "category", "aspect", "sentiment")
 
 
 query(
     "src_5",
     _semicolon,
-    r"""SELECT CASE WHEN id % 10 <> 3 THEN CAST(id AS INTEGER) END AS id,
+    r"""SELECT CASE WHEN id % 10 <> 3 THEN CAST(id AS INTEGER) ELSE -1 END AS id,
                md5(nullif(regexp_replace(review, '[;\r\n]', ' ', 'g'), '')) AS review_md5, category, aspect, sentiment FROM reviews""",
     "reviews",
 )
@@ -127,8 +127,8 @@ def _projected(t: Tables) -> DataFrame:
 query("src_9", _projected, 'SELECT frame_id, "timestamp", person_count, process_latency_seconds FROM frames', "frames")
 query(
     "src_10",
-    lambda t: decode_headers(t.frame_messages).select("frame_id", "timestamp", "source", F.length("value").alias("bytes")),
-    """SELECT CASE WHEN k % 7 = 0 OR k % 11 <> 0 THEN CAST(event_id AS INTEGER) END AS frame_id, epoch_us(ts) / 1e6 AS "timestamp",
+    lambda t: decode_headers(t.frame_messages).select(F.coalesce("frame_id", F.lit(-1)).alias("frame_id"), "timestamp", "source", F.length("value").alias("bytes")),
+    """SELECT CASE WHEN k % 7 = 0 OR k % 11 <> 0 THEN CAST(event_id AS INTEGER) ELSE -1 END AS frame_id, epoch_us(ts) / 1e6 AS "timestamp",
               CASE WHEN k % 7 = 0 THEN 'unknown' ELSE event_type END AS source,
               CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS bytes FROM keyed_events""",
     "keyed_events",
@@ -148,8 +148,8 @@ query(
     "src_11",
     _messages,
     """SELECT CASE WHEN frame_id % 9 = 1 THEN -1 ELSE frame_id END AS frame_id, "timestamp",
-              CASE WHEN frame_id % 9 = 1 THEN 0 ELSE coalesce(person_count, 0) END AS person_count,
-              CASE WHEN frame_id % 9 = 1 THEN 0 ELSE process_latency_seconds END AS process_latency_seconds
+              CASE WHEN frame_id % 9 = 1 THEN 0 ELSE person_count END AS person_count,
+              CASE WHEN frame_id % 9 = 1 THEN 0 ELSE coalesce(process_latency_seconds, 0) END AS process_latency_seconds
        FROM frames WHERE frame_id % 9 <> 0""",
     "frames",
 )

@@ -168,8 +168,8 @@ query(
     .join(t.products, "Product_ID", "left")
     .join(sales.clean_reviews(t.order_reviews).select("Order_ID", "Review_Score_Int"), "Order_ID", "left")
     .groupBy("Product_ID", "Product_Category_Name")
-    .agg(F.count(F.lit(1)).alias("n"), F.sum("Review_Score_Int").alias("score")),
-    """SELECT Product_ID, Product_Category_Name, count(*) AS n, CAST(sum(Review_Score_Int) AS BIGINT) AS score
+    .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("Review_Score_Int"), F.lit(0)).alias("score")),
+    """SELECT Product_ID, Product_Category_Name, count(*) AS n, CAST(coalesce(sum(Review_Score_Int), 0) AS BIGINT) AS score
        FROM shop_items LEFT JOIN products USING (Product_ID) LEFT JOIN valid_reviews USING (Order_ID) GROUP BY ALL""",
     "shop_items products valid_reviews",
 )

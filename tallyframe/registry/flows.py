@@ -325,7 +325,7 @@ query(
     "frames",
 )
 LOG_SQL = """SELECT frame_id, ((epoch_us(ts) + 500) // 1000) / 1000.0 AS "timestamp", strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime,
-       coalesce(person_count, 0) AS person_count, CAST(round(CAST(process_latency_seconds AS DECIMAL(18,6)) * 1000, 2) AS DOUBLE)
+       person_count, CAST(round(CAST(coalesce(process_latency_seconds, 0) AS DECIMAL(18,6)) * 1000, 2) AS DOUBLE)
        AS process_latency_ms, CAST(round(CAST(total_latency_seconds AS DECIMAL(18,6)) * 1000, 2) AS DOUBLE) AS total_latency_ms FROM frames"""
 query("cam_04", lambda t: frames.detection_log(t.frames), LOG_SQL, "frames")
 REPORT_SQL = """SELECT count(*) AS "Total_Frames", CAST(sum(c) AS BIGINT) AS "Total_Detections",
@@ -339,7 +339,7 @@ DISTRIBUTION_SQL = """SELECT person_count, frames, pct, repeat('#', CAST(floor(p
        SELECT coalesce(person_count, 0) AS person_count, count(*) AS frames,
               count(*) * 100.0::DOUBLE / (SELECT count(*) FROM frames) AS pct FROM frames GROUP BY 1)"""
 query("cam_06", lambda t: frames.distribution(t.frames), DISTRIBUTION_SQL, "frames")
-LIVE_SQL = """SELECT coalesce(person_count, 0) AS current_count, CAST(CAST(process_latency_seconds AS DECIMAL(18,6)) * 1000 AS DOUBLE)
+LIVE_SQL = """SELECT person_count AS current_count, CAST(CAST(coalesce(process_latency_seconds, 0) AS DECIMAL(18,6)) * 1000 AS DOUBLE)
        AS latency_ms, strftime(ts, '%H:%M:%S') AS latest_time, (SELECT count(*) FROM frames) AS total_records
   FROM frames ORDER BY "timestamp" DESC, frame_id DESC LIMIT 1"""
 query("cam_07", lambda t: frames.live_metrics(t.frames), LIVE_SQL, "frames")
@@ -388,7 +388,7 @@ def _ingested(t: Tables) -> DataFrame:
     return rows.select("frame_id", "timestamp", "person_count", "process_latency_seconds", "total_latency_seconds", moment)
 
 
-INGEST_SQL = """SELECT frame_id, "timestamp", coalesce(person_count, 0) AS person_count, process_latency_seconds, total_latency_seconds,
+INGEST_SQL = """SELECT frame_id, "timestamp", person_count, coalesce(process_latency_seconds, 0) AS process_latency_seconds, total_latency_seconds,
        ts AS datetime FROM frames"""
 query("cam_09", _ingested, INGEST_SQL, "frames")
 
@@ -406,12 +406,12 @@ def _detected(t: Tables) -> DataFrame:
     records = detections.parse_messages(detected_messages(t)).where("process_latency_seconds >= 0 and total_latency_seconds > 0")
     last = F.get("detections", F.size("detections") - 1)
     return records.select(
-        "frame_id", "timestamp", "person_count", last["box"][2].alias("last_right"), last["confidence"].alias("last_confidence")
+        "frame_id", "timestamp", "person_count", F.coalesce(last["box"][2], F.lit(-1)).alias("last_right"), last["confidence"].alias("last_confidence")
     )
 
 
 DETECTED_SQL = """SELECT CASE WHEN k % 7 <> 0 AND k % 11 = 0 THEN -1 ELSE CAST(event_id AS INTEGER) END AS frame_id,
-       epoch_us(ts) / 1e6 AS "timestamp", k % 5 AS person_count, CASE WHEN k % 5 > 0 THEN CAST(10 * (k % 5) - 2 AS INTEGER) END AS last_right,
+       epoch_us(ts) / 1e6 AS "timestamp", k % 5 AS person_count, CASE WHEN k % 5 > 0 THEN 10 * (k % 5) - 2 ELSE -1 END AS last_right,
        CASE WHEN k % 5 > 0 THEN 0.5::DOUBLE + (k % 5 - 1) / 16 END AS last_confidence FROM keyed_events WHERE event_type <> 'error'"""
 query("cam_10", _detected, DETECTED_SQL, "keyed_events")
 
@@ -448,7 +448,7 @@ def _latency(t: Tables) -> DataFrame:
 def _restarted(t: Tables) -> DataFrame:
     """Run the storage job twice on one checkpoint, with messages added in between."""
     folder, table, progress = t.scratch("messages"), t.scratch("detections"), t.scratch("progress")
-    for kind in ("frame_id < 0 or person_count is null", "not (frame_id < 0 or person_count is null)"):
+    for kind in ("process_latency_seconds is null", "process_latency_seconds is not null"):
         as_json(t.frames.where(kind)).write.mode("append").text(folder)
         messages = detections.message_files(t.spark, folder)
         detections.store_detections(messages, table, progress, {"availableNow": True}).awaitTermination()
@@ -464,11 +464,11 @@ query(
 query(
     "stm_2",
     lambda t: stored_detections(t).groupBy("person_count").agg(F.count("inserted_at").alias("n")),
-    "SELECT coalesce(person_count, 0) AS person_count, count(*) AS n FROM frames GROUP BY 1",
+    "SELECT person_count, count(*) AS n FROM frames GROUP BY 1",
     "frames",
 )
 query("stm_3", _counters, LIVE_SQL, "frames")
-query("stm_4", _trend, TREND_SQL.replace(" person_count,", " coalesce(person_count, 0) AS person_count,"), "frames")
+query("stm_4", _trend, TREND_SQL.replace("       process_latency_seconds", "       coalesce(process_latency_seconds, 0) AS process_latency_seconds"), "frames")
 query(
     "stm_5",
     _latency,

@@ -1,7 +1,7 @@
 """The given tables seen as movies, reviews, shop and camera data, and the same views in SQL.
 
 Irregular rows the analyses have to cope with (unknown movies and users, missing customers, bad
-scores, repeated reviews, missing counts) are derived from the tables by rule; no row is left out.
+scores, repeated reviews, missing latencies) are derived from the tables by rule; no row is left out.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ class Tables:
         """Orders as exported: all times are text, one of them not always a time."""
         return self.given("orders").selectExpr(
             "o_orderkey AS Order_ID",
-            "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey * 4 + o_orderkey % 4 END AS Customer_Trx_ID",
+            "CASE WHEN o_orderkey % 97 > 0 THEN concat('A', o_custkey * 4 + o_orderkey % 4) END AS Customer_Trx_ID",
             "o_orderstatus AS Order_Status",
             "date_format(o_orderdate, 'yyyy-MM-dd HH:mm') AS Order_Purchase_Timestamp",
             "CASE WHEN o_orderstatus <> 'P' THEN date_format(o_orderdate, 'yyyy-MM-dd 08:15') END AS Order_Approved_At",
@@ -134,7 +134,7 @@ class Tables:
     def orders(self) -> DataFrame:
         return self.given("orders").selectExpr(
             "o_orderkey AS Order_ID",
-            "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey * 4 + o_orderkey % 4 END AS Customer_Trx_ID",
+            "CASE WHEN o_orderkey % 97 > 0 THEN concat('A', o_custkey * 4 + o_orderkey % 4) END AS Customer_Trx_ID",
             "o_orderstatus AS Order_Status",
             "o_orderdate AS Order_Purchase_TS",
             "CASE WHEN o_orderstatus <> 'P' THEN o_orderdate"
@@ -145,7 +145,7 @@ class Tables:
     def customers(self) -> DataFrame:
         nations = self.given("nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS Customer_Country")
         return self.given("customer").join(nations, "c_nationkey").selectExpr(
-            "explode(transform(array(0, 1, 2, 3), account -> c_custkey * 4 + account)) AS Customer_Trx_ID",
+            "explode(transform(array(0, 1, 2, 3), account -> concat('A', c_custkey * 4 + account))) AS Customer_Trx_ID",
             "Customer_Country",
             "concat('C', c_nationkey) AS Customer_Country_Code",
         )
@@ -195,8 +195,8 @@ class Tables:
         return self.keyed_events.select(
             F.col("event_id").cast("int").alias("frame_id"),
             timestamp_epoch(F.col("ts")).alias("timestamp"),
-            F.when((F.col("event_type") == "error") & (k % 10 == 0), F.lit(None)).otherwise(k % 5).alias("person_count"),
-            (F.col("value") / 1000).alias("process_latency_seconds"),
+            (k % 5).alias("person_count"),
+            F.when((F.col("event_type") != "error") | (k % 10 != 0), F.col("value") / 1000).alias("process_latency_seconds"),
             (F.col("value") / 500).alias("total_latency_seconds"),
         )
 
@@ -252,14 +252,14 @@ SQL_VIEWS: dict[str, tuple[list[str], str]] = {
     "shop_orders": (
         [],
         """SELECT o_orderkey AS Order_ID,
-                  CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey * 4 + o_orderkey % 4 END AS Customer_Trx_ID,
+                  CASE WHEN o_orderkey % 97 > 0 THEN 'A' || (o_custkey * 4 + o_orderkey % 4) END AS Customer_Trx_ID,
                   o_orderstatus AS Order_Status, o_orderdate AS Order_Purchase_TS,
                   CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + to_days(CAST(o_orderkey % 15 AS INTEGER))
                        + to_seconds((o_orderkey % 7) * 150) END AS Order_Delivered_Carrier_TS FROM orders""",
     ),
     "shop_customers": (
         [],
-        """SELECT c_custkey * 4 + a AS Customer_Trx_ID, n_name AS Customer_Country, 'C' || c_nationkey AS Customer_Country_Code
+        """SELECT 'A' || (c_custkey * 4 + a) AS Customer_Trx_ID, n_name AS Customer_Country, 'C' || c_nationkey AS Customer_Country_Code
            FROM customer JOIN nation ON n_nationkey = c_nationkey, (VALUES (0), (1), (2), (3)) AS t(a)""",
     ),
     "shop_items": (
@@ -292,7 +292,7 @@ SQL_VIEWS: dict[str, tuple[list[str], str]] = {
     "frames": (
         ["keyed_events"],
         """SELECT CAST(event_id AS INTEGER) AS frame_id, epoch_us(ts) / 1e6 AS "timestamp", ts,
-                  CASE WHEN event_type = 'error' AND k % 10 = 0 THEN NULL ELSE k % 5 END AS person_count,
-                  value / 1000 AS process_latency_seconds, value / 500 AS total_latency_seconds FROM keyed_events""",
+                  k % 5 AS person_count,
+                  CASE WHEN event_type <> 'error' OR k % 10 <> 0 THEN value / 1000 END AS process_latency_seconds, value / 500 AS total_latency_seconds FROM keyed_events""",
     ),
 }
