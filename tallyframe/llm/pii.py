@@ -185,7 +185,8 @@ def personal_data_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans): counts of base spans, a digest of
     them, and all spans as ``kind:start:end``; one row per row of ``docs``."""
     rows = personal_data(docs)
-    counts = [F.size(F.filter("base", lambda c, kind=kind: c["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    number = lambda kind: F.size(F.filter("base", lambda c: c["kind"] == kind)).cast("long")
+    counts = [number(kind).alias(f"n_{kind}") for kind in KINDS]
     digest = F.sha2(spans.joined(F.col("base")), 256).alias("base_sha256")
     return rows.select("doc_id", *counts, digest, spans.joined(F.col("all")).alias("spans"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import exact_dedup, mixing, packing, simhash
+from tallyframe.llm import embedding_dedup, exact_dedup, html_text, licenses, mixing, packing, pii, secrets_scan, simhash, toxicity
 from tallyframe.llm.checks import ORACLES
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, folder, "pages"))
+
+
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data_report(_table(spark, folder, "documents"))
+
+
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets_scan.secrets_report(_table(spark, folder, "documents"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, folder, "documents"))
 
@@ -36,14 +48,33 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, _table(spark, folder, "labels")))
+
+
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_report(_table(spark, folder, "documents"))
+
+
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(_table(spark, folder, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
+    "op2_pii": op2_pii,
+    "op3_secrets": op3_secrets,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
+    "op8_licenses": op8_licenses,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

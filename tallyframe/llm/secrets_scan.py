@@ -195,6 +195,7 @@ def secrets_report(docs: DataFrame) -> DataFrame:
     them, and all spans as ``kind:start:end``; one row per row of ``docs``."""
     found = find_secrets(docs)
     kinds = F.array(*[F.lit(kind) for kind in KINDS])
-    counts = [F.size(F.filter("base", lambda c, k=k: c["order"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    number = lambda kind: F.size(F.filter("base", lambda c: c["order"] == kind)).cast("long")
+    counts = [number(kind).alias(f"n_{KINDS[kind]}") for kind in range(3)]
     named = F.transform("all", lambda c: F.struct(F.element_at(kinds, c["order"] + 1).alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     return found.select("doc_id", *counts, "base_sha256", spans.joined(named).alias("spans"))
