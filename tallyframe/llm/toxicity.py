@@ -171,7 +171,12 @@ def _start(vocabulary: dict[str, int], odds: np.ndarray, seed: int, base: float)
 def fit_network(texts: Sequence[Sequence[Sequence[str]]], toxic: Sequence[int], epochs: int = 8, seed: int = 7) -> Network:
     """Train on documents given as windows of words. The loss of a document is that of its most toxic
     window; Adam, on batches of documents. Words that meet toxic documents much more or less often
-    than chance start from their log-odds. Without documents of both kinds the score is the base rate."""
+    than chance start from their log-odds. Any words of a clean document are clean, so windows that repeat
+    one of them are added as clean. Without documents of both kinds the score is the base rate."""
+    rng = np.random.default_rng(seed)
+    clean = [windows for windows, mark in zip(texts, toxic) if windows and not mark][::10]
+    again = [[[str(rng.choice(windows[0]))] * WINDOW] for windows in clean]
+    texts, toxic = [*texts, *again], [*toxic, *[0] * len(again)]
     marks = np.array(toxic, np.float32)
     base = float(np.log((marks.sum() + 0.5) / (len(marks) - marks.sum() + 0.5)))
     met, met_toxic = Counter(), Counter()
@@ -203,7 +208,7 @@ def fit_network(texts: Sequence[Sequence[Sequence[str]]], toxic: Sequence[int],
     table = np.full((len(index), WINDOW), -1)
     for at, (_, ids) in enumerate(index):
         table[at, : len(ids)] = ids
-    rng, moment, spread, step = np.random.default_rng(seed), {}, {}, 0
+    moment, spread, step = {}, {}, 0
     first = np.searchsorted(owner, usable)
     for _ in range(epochs):
         gates = net.project(net.combine(own_row, flat_grams, offsets)).astype(np.float32)
