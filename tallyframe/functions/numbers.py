@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(12,2)"
+MONEY = "decimal(18,2)"
 
 
 def to_long(text: Column) -> Column:

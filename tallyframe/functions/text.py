@@ -42,9 +42,12 @@ def word_pieces(text: Column) -> Column:
 
 
 def list_items(field: Column, trimmed: bool = True) -> Column:
-    """The items of a ``|``-separated field."""
-    items = F.split(field, r"\|")
-    return F.transform(items, trim_all) if trimmed else items
+    """The items of a ``|``-separated field. The trimmed form leaves out empty items at the end of the
+    field, so a field of bars only has none; the other keeps every item."""
+    if not trimmed:
+        return F.split(field, r"\|")
+    inner = F.split(F.regexp_replace(field, r"\|+$", ""), r"\|")
+    return F.when(field.rlike(r"^\|+$"), F.array().cast("array<string>")).otherwise(F.transform(inner, trim_all))
 
 
 def strip_carriage_return(text: Column) -> Column:

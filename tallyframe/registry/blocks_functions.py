@@ -264,7 +264,7 @@ query(
 query(
     "arr_1",
     lambda t: boxed_events(t).select("frame_id", F.size("detections").alias("person_count")),
-    "SELECT CAST(event_id AS INTEGER) AS frame_id, k % 5 AS person_count FROM keyed_events",
+    "SELECT CAST(event_id AS BIGINT) AS frame_id, k % 5 AS person_count FROM keyed_events",
     "keyed_events",
 )
 query(
@@ -273,7 +273,7 @@ query(
         "frame_id", F.col("d.box")[0].alias("x1"), F.col("d.box")[2].alias("x2"), "d.confidence"
     ),
     f"""SELECT frame_id, CAST(d.box[1] AS INTEGER) AS x1, CAST(d.box[3] AS INTEGER) AS x2, d.confidence AS confidence
-        FROM (SELECT CAST(event_id AS INTEGER) AS frame_id, unnest({BOXES_SQL}) AS d FROM keyed_events)""",
+        FROM (SELECT CAST(event_id AS BIGINT) AS frame_id, unnest({BOXES_SQL}) AS d FROM keyed_events)""",
     "keyed_events",
 )
 
@@ -281,14 +281,14 @@ query(
 def _round_trip(t: Tables) -> DataFrame:
     """Records to JSON text and back."""
     texts = boxed_events(t).select(F.to_json(F.struct("frame_id", "detections")).alias("value"))
-    record = F.from_json("value", f"frame_id INT, detections {BOX_SCHEMA}").alias("r")
+    record = F.from_json("value", f"frame_id BIGINT, detections {BOX_SCHEMA}").alias("r")
     return texts.select(record).select("r.frame_id", F.size("r.detections").alias("boxes"), F.get("r.detections", F.lit(0))["confidence"].alias("first"))
 
 
 query(
     "jsn_1",
     _round_trip,
-    "SELECT CAST(event_id AS INTEGER) AS frame_id, k % 5 AS boxes, CASE WHEN k % 5 > 0 THEN 0.5::DOUBLE END AS first FROM keyed_events",
+    "SELECT CAST(event_id AS BIGINT) AS frame_id, k % 5 AS boxes, CASE WHEN k % 5 > 0 THEN 0.5::DOUBLE END AS first FROM keyed_events",
     "keyed_events",
 )
 query(

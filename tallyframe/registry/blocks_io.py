@@ -71,7 +71,7 @@ query("src_4", _two_files, "SELECT l_suppkey AS user_id, movie_id, rating, ts FR
 
 
 def _semicolon(t: Tables) -> DataFrame:
-    number = "CASE WHEN id % 10 = 3 THEN concat('x', id) ELSE CAST(id AS STRING) END"
+    number = "CASE WHEN id % 10 = 3 THEN concat('x', id) ELSE CAST(id + CAST(id % 2 AS BIGINT) * 3000000000 AS STRING) END"
     text = r"regexp_replace(review, '[;\r\n]', ' ')"
     lines = t.reviews.selectExpr(f"concat_ws(';', {number}, {text}, category, aspect, sentiment) AS value")
     read = sources.read_semicolon_typed(t.spark, _written_lines(t, lines, "reviews"))
@@ -81,7 +81,7 @@ def _semicolon(t: Tables) -> DataFrame:
 query(
     "src_5",
     _semicolon,
-    r"""SELECT CASE WHEN id % 10 <> 3 THEN CAST(id AS INTEGER) ELSE -1 END AS id,
+    r"""SELECT CASE WHEN id % 10 <> 3 THEN CAST(id + CAST(id % 2 AS BIGINT) * 3000000000 AS BIGINT) ELSE -1 END AS id,
                md5(nullif(regexp_replace(review, '[;\r\n]', ' ', 'g'), '')) AS review_md5, category, aspect, sentiment FROM reviews""",
     "reviews",
 )
@@ -128,7 +128,7 @@ query("src_9", _projected, 'SELECT frame_id, "timestamp", person_count, process_
 query(
     "src_10",
     lambda t: decode_headers(t.frame_messages).select(F.coalesce("frame_id", F.lit(-1)).alias("frame_id"), "timestamp", "source", F.length("value").alias("bytes")),
-    """SELECT CASE WHEN k % 7 = 0 OR k % 11 <> 0 THEN CAST(event_id AS INTEGER) ELSE -1 END AS frame_id, epoch_us(ts) / 1e6 AS "timestamp",
+    """SELECT CASE WHEN k % 7 = 0 OR k % 11 <> 0 THEN CAST(event_id AS BIGINT) ELSE -1 END AS frame_id, epoch_us(ts) / 1e6 AS "timestamp",
               CASE WHEN k % 7 = 0 THEN 'unknown' ELSE event_type END AS source,
               CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS bytes FROM keyed_events""",
     "keyed_events",
@@ -216,7 +216,7 @@ def _replaced(t: Tables) -> DataFrame:
     path = t.scratch("report")
     for least in (0, 4):
         sinks.overwrite_csv(frames.peak_frames(t.frames, least), path)
-    return t.spark.read.schema("frame_id INT, person_count INT, process_latency_seconds DOUBLE").csv(path, header=True)
+    return t.spark.read.schema("frame_id BIGINT, person_count INT, process_latency_seconds DOUBLE").csv(path, header=True)
 
 
 query(
@@ -239,7 +239,7 @@ BOXES_SQL = "[{'box': [10 * i, 0, 10 * i + 8, 16], 'confidence': 0.5::DOUBLE + i
 
 
 def boxed_events(t: Tables) -> DataFrame:
-    keyed = t.keyed_events.selectExpr("CAST(event_id AS INT) AS frame_id", "k")
+    keyed = t.keyed_events.selectExpr("CAST(event_id AS BIGINT) AS frame_id", "k")
     return keyed.selectExpr("frame_id", "k", f"{BOXES} AS detections")
 
 

@@ -410,7 +410,7 @@ def _detected(t: Tables) -> DataFrame:
     )
 
 
-DETECTED_SQL = """SELECT CASE WHEN k % 7 <> 0 AND k % 11 = 0 THEN -1 ELSE CAST(event_id AS INTEGER) END AS frame_id,
+DETECTED_SQL = """SELECT CASE WHEN k % 7 <> 0 AND k % 11 = 0 THEN -1 ELSE CAST(event_id AS BIGINT) END AS frame_id,
        epoch_us(ts) / 1e6 AS "timestamp", k % 5 AS person_count, CASE WHEN k % 5 > 0 THEN 10 * (k % 5) - 2 ELSE -1 END AS last_right,
        CASE WHEN k % 5 > 0 THEN 0.5::DOUBLE + (k % 5 - 1) / 16 END AS last_confidence FROM keyed_events WHERE event_type <> 'error'"""
 query("cam_10", _detected, DETECTED_SQL, "keyed_events")

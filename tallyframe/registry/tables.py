@@ -193,7 +193,7 @@ class Tables:
     def frames(self) -> DataFrame:
         k = F.col("k")
         return self.keyed_events.select(
-            F.col("event_id").cast("int").alias("frame_id"),
+            F.col("event_id").cast("bigint").alias("frame_id"),
             timestamp_epoch(F.col("ts")).alias("timestamp"),
             (k % 5).alias("person_count"),
             F.when((F.col("event_type") != "error") | (k % 10 != 0), F.col("value") / 1000).alias("process_latency_seconds"),
@@ -291,7 +291,7 @@ SQL_VIEWS: dict[str, tuple[list[str], str]] = {
     "keyed_events": ([], "SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"),
     "frames": (
         ["keyed_events"],
-        """SELECT CAST(event_id AS INTEGER) AS frame_id, epoch_us(ts) / 1e6 AS "timestamp", ts,
+        """SELECT CAST(event_id AS BIGINT) AS frame_id, epoch_us(ts) / 1e6 AS "timestamp", ts,
                   k % 5 AS person_count,
                   CASE WHEN event_type <> 'error' OR k % 10 <> 0 THEN value / 1000 END AS process_latency_seconds, value / 500 AS total_latency_seconds FROM keyed_events""",
     ),

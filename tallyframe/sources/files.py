@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.text import strip_carriage_return
 
-REVIEW_SCHEMA = "id INT, review STRING, category STRING, aspect STRING, sentiment STRING"
+REVIEW_SCHEMA = "id BIGINT, review STRING, category STRING, aspect STRING, sentiment STRING"
 BOX_SCHEMA = "ARRAY<STRUCT<box: ARRAY<INT>, confidence: DOUBLE>>"
 DETECTION_SCHEMA = (
-    f"frame_id INT, timestamp DOUBLE, person_count INT, detections {BOX_SCHEMA}, "
+    f"frame_id BIGINT, timestamp DOUBLE, person_count INT, detections {BOX_SCHEMA}, "
     "process_latency_seconds DOUBLE, total_latency_seconds DOUBLE"
 )
 LOG_FIELDS = ("frame_id", "timestamp", "person_count", "process_latency_seconds", "total_latency_seconds")

@@ -44,7 +44,7 @@ def decode_headers(messages: DataFrame) -> DataFrame:
     """Frame number, capture time and source out of the headers. A missing time is now, a missing
     source is unknown, and a missing number is NULL, as the column holds whole numbers."""
     return messages.select(
-        _header("frame_id").try_cast("int").alias("frame_id"),
+        _header("frame_id").try_cast("bigint").alias("frame_id"),
         F.coalesce(_header("timestamp").try_cast("double"), timestamp_epoch(F.current_timestamp())).alias("timestamp"),
         F.coalesce(_header("source"), F.lit("unknown")).alias("source"),
         "value",
@@ -75,7 +75,7 @@ def detect(frames: DataFrame, load_detector: LoadDetector, partitions: int | Non
             }
             yield pa.RecordBatch.from_pydict(columns)
 
-    schema = f"frame_id INT, timestamp DOUBLE, detections {BOX_SCHEMA}, process_latency_seconds DOUBLE"
+    schema = f"frame_id BIGINT, timestamp DOUBLE, detections {BOX_SCHEMA}, process_latency_seconds DOUBLE"
     slim = frames.select("frame_id", "timestamp", "value")
     return (slim.repartition(partitions) if partitions else slim).mapInArrow(run, schema)
 

@@ -130,3 +130,9 @@ def test_exact_mean_rounds_the_true_quotient(spark):
     df = spark.createDataFrame([("a", "1.00"), ("a", "1.01"), ("b", None)], "k STRING, v STRING").withColumn("v", F.col("v").cast("decimal(12,2)"))
     found = df.groupBy("k").agg(numbers.exact_mean(F.col("v"), 2).cast("double").alias("m")).orderBy("k").collect()
     assert [tuple(row) for row in found] == [("a", 1.01), ("b", None)]
+
+
+def test_empty_items_at_the_end_go_from_the_trimmed_form_only(spark):
+    fields = [("A| B||",), ("A||B",), ("||",), ("",), (None,)]
+    assert one(spark, "t STRING", fields, text.list_items(F.col("t"))) == [(["A", "B"],), (["A", "", "B"],), ([],), ([""],), (None,)]
+    assert one(spark, "t STRING", fields[:1], text.list_items(F.col("t"), trimmed=False)) == [(["A", " B", "", ""],)]
