@@ -163,9 +163,9 @@ def fingerprint_links(nodes: DataFrame, radius: int = RADIUS, shard_rows: int =
     ])
     spread = nodes.where("doc IS NOT NULL").select("fp", "doc", F.explode(shards).alias("shard"))
     large = spread.groupBy("shard").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > shard_rows)
-    chunks = F.least(F.ceil(F.col("rows") / shard_rows), F.lit(most_chunks))
+    chunks = F.when(F.col("rows").isNull(), 1).otherwise(F.least(F.ceil(F.col("rows") / shard_rows), F.lit(most_chunks)))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    counted = spread.join(large, "shard", "left").withColumn("chunks", F.coalesce(chunks, F.lit(1)).cast("long")).withColumn("own", own)
+    counted = spread.join(large, "shard", "left").withColumn("chunks", chunks.cast("long")).withColumn("own", own)
     paired = counted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     unit = F.least("own", "other") * F.col("chunks") + F.greatest("own", "other")
     units = paired.select("shard", unit.alias("unit"), (F.col("own") > F.col("other")).alias("asks"), "fp", "doc")
