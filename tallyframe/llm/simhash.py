@@ -116,6 +116,24 @@ def _link_shard(fp: np.ndarray, doc: np.ndarray, asks: np.ndarray, radius: int)
     return doc[moved], doc[labels[moved]]
 
 
+def _link_leaves(fp: np.ndarray, doc: np.ndarray, run: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many shards at once whose trees are a single leaf; ``run`` numbers them in order."""
+    left, right = [], []
+    for apart in range(1, min(LEAF, len(fp))):
+        close = (run[apart:] == run[:-apart]) & (np.bitwise_count(fp[apart:] ^ fp[:-apart]) <= radius)
+        left.append(np.flatnonzero(close))
+        right.append(left[-1] + apart)
+    if not left:
+        return doc[:0], doc[:0]
+    ends, inverse = np.unique(np.concatenate(left + right), return_inverse=True)
+    order = np.argsort(doc[ends], kind="stable")
+    place = np.argsort(order, kind="stable")[inverse]
+    labels = lowest_labels(len(ends), place[: len(place) // 2], place[len(place) // 2 :])
+    moved = np.flatnonzero(labels != np.arange(len(ends)))
+    ordered = doc[ends][order]
+    return ordered[moved], ordered[labels[moved]]
+
+
 def _link_sorted(radius: int):
     """Links within runs of equal (shard, unit) of a partition sorted by them."""
 
@@ -125,13 +143,18 @@ def _link_sorted(radius: int):
         def links(parts: list[np.ndarray], last: bool) -> tuple[pa.RecordBatch, list[np.ndarray]]:
             shard, unit, asks, fp, doc = parts
             borders = np.flatnonzero((shard[1:] != shard[:-1]) | (unit[1:] != unit[:-1])) + 1
-            ends = [*borders, len(shard)] if last else list(borders)
-            out, start = [], 0
-            for end in ends:
-                if end - start > 1:
-                    out.append(_link_shard(fp[start:end], doc[start:end], asks[start:end], radius))
-                start = end
-            pairs = [np.concatenate(side) if out else np.zeros(0, np.int64) for side in (zip(*out) if out else ([], []))]
+            bounds = np.r_[0, borders, len(shard)] if last else np.r_[0, borders]
+            start, sizes = int(bounds[-1]), np.diff(bounds)
+            run_of = np.repeat(np.arange(len(sizes)), sizes)
+            asked = np.zeros(len(sizes), bool)
+            asked[run_of[asks[:start]]] = True
+            leaf = (sizes <= LEAF) & ~asked
+            in_leaf = leaf[run_of]
+            out = [_link_leaves(fp[:start][in_leaf], doc[:start][in_leaf], run_of[in_leaf], radius)]
+            for at in np.flatnonzero(~leaf):
+                own = slice(bounds[at], bounds[at + 1])
+                out.append(_link_shard(fp[own], doc[own], asks[own], radius))
+            pairs = [np.concatenate(side) for side in zip(*out)]
             return pa.RecordBatch.from_arrays([pa.array(side) for side in pairs], ["a", "b"]), [part[start:] for part in parts]
 
         for batch in batches:

@@ -189,6 +189,29 @@ def test_bk_tree_equals_brute_force():
     assert sorted(zip(i.tolist(), j.tolist())) == list(zip(a.tolist(), b.tolist()))
 
 
+def test_shards_of_one_leaf_equal_brute_force():
+    rng = np.random.default_rng(5)
+    fp = rng.integers(0, 2**63, 200).astype(np.uint64) & np.uint64(0b1111111)
+    run, doc = np.sort(rng.integers(0, 40, 200)), rng.permutation(200)
+    close = [(i, j) for i in range(200) for j in range(i) if run[i] == run[j] and (int(fp[i]) ^ int(fp[j])).bit_count() <= 2]
+    a, b = simhash._link_leaves(fp, doc, run, 2)
+    expected = _components(range(200), [(int(doc[i]), int(doc[j])) for i, j in close])
+    assert _components(range(200), zip(a.tolist(), b.tolist())) == expected
+    assert all(len(side) == 0 for side in simhash._link_leaves(fp[:1], doc[:1], run[:1], 2))
+
+
+def test_chunked_shards_find_the_same_links(spark):
+    rng = np.random.default_rng(6)
+    fps = {int(x) for x in rng.integers(0, 64, 60)}
+    nodes = spark.createDataFrame([(x, at) for at, x in enumerate(sorted(fps))], "fp long, doc long")
+    found = [
+        _components(range(len(fps)), [(r["a"], r["b"]) for r in simhash.fingerprint_links(nodes, 1, shard_rows=rows).collect()])
+        for rows in (4096, 7)
+    ]
+    close = [(i, j) for i, x in enumerate(sorted(fps)) for j, y in enumerate(sorted(fps)) if i < j and (x ^ y).bit_count() <= 1]
+    assert found == [_components(range(len(fps)), close)] * 2
+
+
 def test_exact_dedup_on_awkward_rows(spark, awkward):
     rows = exact_dedup.exact_duplicates(awkward).collect()
     groups = defaultdict(list)
