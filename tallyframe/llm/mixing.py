@@ -13,6 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 BINS = 1024
+SALTS = 64  # a source's rows meet its one plan row in this many parts
 
 
 def word_count(text: str = "text") -> Column:
@@ -86,7 +87,9 @@ def mix(
     first = ends.groupBy("_source").agg(F.min_by(F.struct("_bin", (F.col("_upto") - F.col("_sum")).alias("_before")), "_bin").alias("_end"))
     first = first.select(F.col("_source").alias("_of"), F.col("_end._bin").alias("_end_bin"), F.col("_end._before").alias("_before"))
     plan = plan.join(first, F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of").withColumnRenamed("source", "_source")
-    known = _drawn(docs, seed).join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    salted = plan.withColumn("_plan_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own_salt = F.col("_draw") % SALTS == F.col("_plan_salt")
+    known = _drawn(docs, seed).join(salted, F.col("source").eqNullSafe(F.col("_source")) & own_salt)
     end_bin = F.coalesce(F.col("_bin") == F.col("_end_bin"), F.lit(False))
     clear = known.where(~end_bin).withColumn("_more", F.when(F.col("_end_bin").isNull() | (F.col("_bin") < F.col("_end_bin")), F.col("size")).otherwise(0))
     ordered = Window.partitionBy("source").orderBy("_draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
