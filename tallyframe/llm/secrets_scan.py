@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +23,19 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run of that class ends all its ma
 HEX = re.compile(r"[0-9a-f]{16,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 KEYWORDS = ("passw", "secret", "token", "api")
-ORDINARY = re.compile(r"[/_-]*(?:[A-Za-z]?[a-z]+|[A-Z]+)(?:[/_-]+(?:[A-Za-z]?[a-z]+|[A-Z]+))*[/_-]*")
 
 # Inferred encodings: name, alphabet size. A token gets the first whose characters hold it.
-ENCODINGS = (("hex", 16), ("base36", 36), ("base64", 64))
-LENGTHS = (16, 20, 24, 32, 40, 64, 128)  # lower ends of the classes of length
-BINS, BIN_WIDTH = 64, 0.125
+ENCODINGS = (("hex", 16), ("base36", 36), ("base64", 64), ("letters", 26))
+DRAWS, LONGEST = 2000, 256  # tokens drawn per null distribution; longer tokens use that of LONGEST
+LETTERS = np.array([8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.2, 0.8, 4.0, 2.4, 6.7, 7.5, 1.9, 0.1, 6.0, 6.3, 9.1, 2.8, 1.0, 2.4, 0.2, 2.0, 0.1])  # a to z, percent in English
 _SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"
 _CODE = np.zeros(128, np.int64)
 _CODE[[ord(c) for c in _SYMBOLS]] = np.arange(64)
 _CODE[[ord("-"), ord("_")]] = (62, 63)  # the URL-safe letters of base64
+_SORT = np.full(128, 3)  # digits, small letters, capitals, signs; of letters alone, vowels or not
+_SORT[48:58], _SORT[97:123], _SORT[65:91] = 0, 1, 2
+_VOWEL = np.isin(np.arange(128), [ord(c) for c in "aeiouAEIOU"]).astype(np.int64)
+CHANGES = np.array([0.4688, 0.4012, 0.6445, 0.3107])  # how often neighbours are of two sorts, if random
 _FOLDED = _CODE.copy()
 _FOLDED[65:91] = _CODE[97:123]
 
@@ -41,15 +45,17 @@ def encoding(token: str) -> int:
     plain = token.rstrip("=")
     if re.fullmatch(r"[0-9A-F]+|[0-9a-f]+", plain):
         return 0
+    if re.fullmatch(r"[A-Z]+|[a-z]+", plain):
+        return 3
     return 1 if re.fullmatch(r"[0-9A-Z]+|[0-9a-z]+", plain) else 2
 
 
 def battery(tokens: list[str], encodings: list[int], as_words: bool = False) -> np.ndarray:
-    """Per token the greatest of three normal scores; near 0 to 2 for random symbols, greater for others.
+    """Per token the greatest of four normal scores; near 0 to 2 for random symbols, greater for others.
 
     Chi-squared uniformity over the alphabet (by the cube-root approximation, only too uneven counts
-    count), the number of runs above and below the middle of the alphabet, and the correlation of
-    neighbouring symbols. ``as_words`` maps the letters of words onto the alphabet, to learn how
+    count), the number of runs above and below the middle of the alphabet, that of runs of one sort of
+    symbol (only too few count, but for letters alone), and the correlation of neighbouring symbols. ``as_words`` maps the letters of words onto the alphabet, to learn how
     ordinary words score under it.
     """
     if not tokens:
@@ -60,7 +66,7 @@ def battery(tokens: list[str], encodings: list[int], as_words: bool = False) ->
     flat = np.frombuffer("".join(plain).encode("ascii"), np.uint8)
     owner, first = np.repeat(np.arange(len(n)), n), np.r_[0, n.cumsum()[:-1]]
     code = np.where(size[owner] == 64, _CODE[flat], _FOLDED[flat])
-    code = (code - 10 if as_words else code) % size[owner]
+    code = np.where((size[owner] == 26) | as_words, code - 10, code) % size[owner]
     counts = np.bincount(owner * 64 + code, minlength=64 * len(n)).reshape(-1, 64)
     expected, free = n / size, size - 1.0
     chi = (counts.astype(float) ** 2).sum(axis=1) / expected - n
@@ -74,6 +80,11 @@ def battery(tokens: list[str], encodings: list[int], as_words: bool = False) ->
     mean = 2 * up * down / n + 1
     spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / np.maximum(n - 1, 1), 1e-9))
     runs = np.where(np.minimum(up, down) < 1, np.sqrt(n), np.abs(changes + 1 - mean) / np.maximum(spread, 0.5))
+    sort = np.where(size[owner] == 26, _VOWEL[flat], _SORT[flat])
+    turns = np.add.reduceat(np.r_[0, sort[1:] != sort[:-1]] * inner, first)
+    often = CHANGES[np.asarray(encodings)]
+    sorts = ((n - 1) * often - turns) / np.sqrt(np.maximum(n - 1, 1) * often * (1 - often))
+    runs = np.maximum(runs, np.where(size == 26, np.abs(sorts), sorts))
     centre = code - (np.add.reduceat(code, first) / n)[owner]
     together = np.add.reduceat(np.r_[0.0, centre[1:] * centre[:-1]] * inner, first)
     square = np.add.reduceat(centre**2, first)
@@ -81,14 +92,49 @@ def battery(tokens: list[str], encodings: list[int], as_words: bool = False) ->
     return np.maximum(uneven, np.maximum(runs, serial))
 
 
-def _bins(scores: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(scores / BIN_WIDTH), 0, BINS - 1).astype(np.int64)
-
-
-def _cells(tokens: list[str], encodings: list[int]) -> np.ndarray:
-    """Number of the (encoding, class of length) of each token."""
-    lengths = np.array([len(token.rstrip("=")) for token in tokens])
-    return np.array(encodings) * len(LENGTHS) + np.maximum(np.searchsorted(LENGTHS, lengths, "right") - 1, 0)
+def _ordinary(kind: int, n: int, rng: np.random.Generator) -> list[str]:
+    """DRAWS tokens of ``n`` symbols as people write them in an encoding: words of 3 to 10 English letters; in
+    hex between numbers, in base36 and base64 with numbers at the end, in base64 also with signs or
+    capitals where words start."""
+    share = np.where(np.arange(26) < 6, LETTERS, 0) if kind == 0 else LETTERS
+    letters = rng.choice(26, (DRAWS, n), p=share / share.sum()) + ord("a")
+    digits = rng.integers(0, 10, (DRAWS, n)) + ord("0")
+    starts = np.zeros((DRAWS, n + 11), bool)
+    at = rng.integers(0, 11, DRAWS)
+    while (at < n).any():
+        starts[np.arange(DRAWS), np.minimum(at, n)] = True
+        at += rng.integers(3, 11, DRAWS)
+    starts = starts[:, :n]
+    if kind == 0:
+        letters = np.where(starts.cumsum(axis=1) % 2, letters, digits)
+    elif kind != 3:
+        numbered = np.arange(n) >= n - rng.integers(0 if kind == 2 else 1, 5, (DRAWS, 1))
+        letters = np.where(numbered, digits, letters)
+        if kind == 2:
+            sign = np.array([ord(c) for c in "_-/"])[rng.integers(0, 3, (DRAWS, 1))]
+            letters = np.where(starts & ~numbered, np.where(rng.random((DRAWS, 1)) < 0.5, letters - 32, sign), letters)
+    return [row.tobytes().decode("ascii") for row in letters.astype(np.uint8)]
+
+
+@cache
+def nulls(kind: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted scores of the battery over DRAWS tokens of ``n`` symbols: uniform random ones, and ordinary ones."""
+    rng = np.random.default_rng([kind, n])
+    symbols = "abcdefghijklmnopqrstuvwxyz" if kind == 3 else _SYMBOLS[: ENCODINGS[kind][1]]
+    drawn = ["".join(row) for row in rng.choice(list(symbols), (DRAWS, n))]
+    return np.sort(battery(drawn, [kind] * DRAWS)), np.sort(battery(_ordinary(kind, n, rng), [kind] * DRAWS))
+
+
+def ranks(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Per token the numbers of drawn random tokens of its encoding and length that score at least as
+    high, and of ordinary ones that score at least as low. One more over DRAWS + 1 is the p-value."""
+    kinds = [encoding(token) for token in tokens]
+    rarer, usual = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
+    for at, (token, kind, score) in enumerate(zip(tokens, kinds, battery(tokens, kinds))):
+        random, ordinary = nulls(kind, min(len(token.rstrip("=")), LONGEST))
+        rarer[at] = DRAWS - np.searchsorted(random, score - 1e-9)
+        usual[at] = np.searchsorted(ordinary, score + 1e-9)
+    return rarer, usual
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -104,26 +150,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        base, place, wide, words = [], [], [], []
+        base, place, wide = [], [], []
         for row, text in enumerate(batch.column(1).to_pylist()):
             found = base_spans(text) if text else []
             base.append(found)
             taken = [(start, end) for start, end, _ in found]
             for m in TOKEN.finditer(text or ""):
-                if ORDINARY.fullmatch(m[0]):
-                    words.append(m[0])
-                elif not any(start < m.end() and m.start() < end for start, end in taken):
+                if not any(start < m.end() and m.start() < end for start, end in taken):
                     place.append((row, m.start(), m.end()))
                     wide.append(m[0])
-        kinds = [encoding(token) for token in wide]
-        cells, bins = (_cells(wide, kinds), _bins(battery(wide, kinds))) if wide else ([], [])
         more: list[list[dict]] = [[] for _ in base]
-        for (row, start, end), cell, at in zip(place, cells, bins):
-            more[row].append({"start": start, "end": end, "cell": int(cell), "bin": int(at)})
-        usual = np.zeros((len(ENCODINGS) * len(LENGTHS), BINS), np.int64)
-        for e in range(len(ENCODINGS)) if words else ():
-            np.add.at(usual, (_cells(words, [e] * len(words)), _bins(battery(words, [e] * len(words), True))), 1)
-        counted = [{"cell": int(c), "bin": int(b), "n": int(usual[c, b])} for c, b in zip(*np.nonzero(usual))]
+        for (row, start, end), rarer, usual in zip(place, *ranks(wide)):
+            more[row].append({"start": start, "end": end, "rarer": int(rarer), "usual": int(usual)})
         named = [[{"start": s, "order": k, "end": e} for s, e, k in found] for found in base]
         digests = [",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in found) for found in base]
         yield pa.RecordBatch.from_arrays(
@@ -131,61 +169,45 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(0),
                 pa.array(named, pa.list_(pa.struct([("start", pa.int32()), ("order", pa.int32()), ("end", pa.int32())]))),
                 pa.array([hashlib.sha256(text.encode()).hexdigest() for text in digests], pa.string()),
-                pa.array(more, pa.list_(pa.struct([(name, pa.int32()) for name in ("start", "end", "cell", "bin")]))),
-                pa.array([counted if row == 0 else [] for row in range(len(base))], pa.list_(pa.struct([("cell", pa.int32()), ("bin", pa.int32()), ("n", pa.int64())]))),
+                pa.array(more, pa.list_(pa.struct([(name, pa.int32()) for name in ("start", "end", "rarer", "usual")]))),
             ],
-            ["doc_id", "base", "base_sha256", "wide", "usual"],
+            ["doc_id", "base", "base_sha256", "wide"],
         )
 
 
 LAYOUT = (
     "doc_id long, base array<struct<start:int,`order`:int,end:int>>, base_sha256 string, "
-    "wide array<struct<start:int,end:int,cell:int,bin:int>>, usual array<struct<cell:int,bin:int,n:long>>"
+    "wide array<struct<start:int,end:int,rarer:int,usual:int>>"
 )
 
 
-def discoveries(usual: dict[tuple[int, int], int], met: dict[tuple[int, int], int], rate: float = 0.01) -> dict[int, int]:
-    """Per cell the greatest bin that is still a discovery.
-
-    A token's p-value is its rank among the ordinary words of the corpus of the same class of length,
-    scored under the same encoding: (1 + words at least as random) / (1 + words). The procedure of
-    Benjamini and Hochberg over all candidates then bounds the share of false discoveries by ``rate``.
-    """
-    total = {cell: 0 for cell, _ in usual}
-    for (cell, _), n in usual.items():
-        total[cell] += n
-    p = {}
-    for cell, at in met:
-        below = sum(n for (c, b), n in usual.items() if c == cell and b <= at)
-        p[cell, at] = (1 + below) / (1 + total.get(cell, 0))
-    every, seen, limit = sum(met.values()), 0, 0.0
-    for key in sorted(p, key=lambda k: (p[k], k)):
-        seen += met[key]
-        if p[key] <= rate * seen / every:
-            limit = p[key]
-    cut: dict[int, int] = {}
-    for (cell, at), value in p.items():
-        if value <= limit:
-            cut[cell] = max(cut.get(cell, -1), at)
-    return cut
+def rejected(met: dict[int, int], rate: float = 0.01) -> int:
+    """The greatest rank at which a token counts as not random, -1 if none: the procedure of Benjamini and
+    Hochberg over the tokens ``met`` per rank, so that at most ``rate`` of those left out are random ones."""
+    every, seen, limit = sum(met.values()), 0, -1
+    for rank in sorted(met):
+        seen += met[rank]
+        if (1 + rank) / (1 + DRAWS) <= rate * seen / every:
+            limit = rank
+    return limit
 
 
 def find_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     """doc_id, ``base`` and ``all`` (arrays of start, order, end; order numbers KINDS) and base_sha256.
 
-    Base forms stay; other tokens of 16 or more letters, digits and base64 signs that are not just
-    words are added, as kind random, where the battery singles them out. Only counts per class and
-    bin come to the driver (fewer than 1,400 of each sort). One row per row of ``docs``; null and empty
-    texts have no span; offsets are code points; an empty table gives no rows; other columns are
-    ignored.
+    Base forms stay. Every other token of 16 or more letters, digits and base64 signs goes through the
+    battery, and its p-values come from the battery's own distribution over random and over ordinary
+    tokens of its encoding and length, whatever the corpus holds. It is added, as kind random, where
+    randomness is not rejected and ordinary writing is, at ``rate``: 16 letters of one case can seldom be told
+    apart from words this way. Only counts per rank come to the driver (DRAWS + 1 at most). One row per
+    row of ``docs``; null and empty texts have no span; offsets are code points; an empty table gives
+    no rows; other columns are ignored.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(narrow.mapInArrow(_scan, LAYOUT), "secrets")
-    words = found.select(F.explode("usual").alias("c")).groupBy("c.cell", "c.bin").agg(F.sum("c.n").alias("n")).collect()
-    wide = found.select(F.explode("wide").alias("c")).groupBy("c.cell", "c.bin").agg(F.count(F.lit(1)).alias("n")).collect()
-    cut = discoveries({(r["cell"], r["bin"]): r["n"] for r in words}, {(r["cell"], r["bin"]): r["n"] for r in wide}, rate)
-    limits = F.create_map(*[F.lit(x) for pair in (cut or {-1: -1}).items() for x in pair])
-    random = F.filter("wide", lambda c: F.coalesce(c["bin"] <= F.try_element_at(limits, c["cell"]), F.lit(False)))
+    wide = found.select(F.explode("wide").alias("c")).groupBy("c.rarer").agg(F.count(F.lit(1)).alias("n")).collect()
+    limit, usual = rejected({r["rarer"]: r["n"] for r in wide}, rate), rate * (1 + DRAWS) - 1
+    random = F.filter("wide", lambda c: (c["rarer"] > limit) & (c["usual"] <= usual))
     shaped = F.transform(random, lambda c: F.struct(c["start"].alias("start"), F.lit(KINDS.index("random")).alias("order"), c["end"].alias("end")))
     return found.select("doc_id", "base", F.array_sort(F.concat("base", shaped)).alias("all"), "base_sha256")
 
