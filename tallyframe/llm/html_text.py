@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -37,7 +37,6 @@ IMPLIED_ENDS = {
 IMPLIED_ENDS["thead"] = IMPLIED_ENDS["tfoot"] = IMPLIED_ENDS["tbody"]
 ENDS_P = BLOCK - {"body", "html", "legend", "option", "optgroup"}
 P_STAYS = frozenset("button td th table caption body".split())
-DEEPEST = 180
 
 TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)""", re.DOTALL
@@ -66,18 +65,24 @@ def parse(html: str) -> Node:
     """The tree of a page. Unclosed and missing tags are implied; what no rule covers keeps its text."""
     root = Node("html")
     stack = [root]
+    places: dict[str, list[int]] = {}  # per tag the depths of its open elements
+
+    def deepest(tags) -> int:
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
 
     def close(names, stops) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in names:
-                del stack[depth:]
-                return
-            if stack[depth].tag in stops:
-                return
+        depth = deepest(names)
+        if depth and depth >= deepest(stops):
+            while len(stack) > depth:
+                places[stack.pop().tag].pop()
+
+    def in_scope(names, stops) -> bool:
+        return deepest(names) > deepest(stops)
 
     def add(node: Node, leaf: bool) -> None:
         stack[-1].children.append(node)
-        if not leaf and len(stack) < DEEPEST:
+        if not leaf:
+            places.setdefault(node.tag, []).append(len(stack))
             stack.append(node)
 
     def text(data: str) -> None:
@@ -110,11 +115,11 @@ def parse(html: str) -> Node:
             continue
         if name in IMPLIED_ENDS:
             ended, stops = IMPLIED_ENDS[name]
-            while any(node.tag in ended for node in _scope(stack, stops)):
+            while in_scope(ended, stops):
                 close(ended, stops)
-        if name in ENDS_P and any(node.tag == "p" for node in _scope(stack, P_STAYS)):
+        if name in ENDS_P and in_scope({"p"}, P_STAYS):
             close({"p"}, P_STAYS)
-        if name in BLOCK and any(node.tag == "head" for node in stack):
+        if name in BLOCK and places.get("head"):
             close({"head"}, ())
         if name == "tr" and stack[-1].tag == "table":
             add(Node("tbody"), False)
@@ -134,13 +139,6 @@ def parse(html: str) -> Node:
     return root
 
 
-def _scope(stack: list[Node], stops) -> Iterator[Node]:
-    for node in reversed(stack):
-        if node.tag in stops:
-            return
-        yield node
-
-
 def _style(node: Node, name: str) -> str:
     found = re.findall(rf"(?:^|;)\s*{name}\s*:\s*([a-z-]+)", node.attrs["style"].lower()) if "style" in node.attrs else []
     return found[-1] if found else ""
@@ -203,8 +201,24 @@ def _indented(lines: list[str], first: str) -> list[str]:
     return [(first if at == 0 else pad if line else "") + line for at, line in enumerate(lines)]
 
 
-def _render(node: Node, flow: Flow, exact: bool, seen: bool) -> None:
-    """Add the visible text of the children of ``node`` to ``flow``."""
+def _done(task: Generator):
+    """What a task returns. Tasks yield the tasks they wait for; these are kept in a list, not on the call
+    stack, so that pages may be nested to any depth."""
+    waiting, value = [task], None
+    while waiting:
+        try:
+            task = waiting[-1].send(value)
+        except StopIteration as end:
+            waiting.pop()
+            value = end.value
+        else:
+            waiting.append(task)
+            value = None
+    return value
+
+
+def _render(node: Node, flow: Flow, exact: bool, seen: bool) -> Generator:
+    """A task that adds the visible text of the children of ``node`` to ``flow``."""
     number, step = _number(node, "start", 1, -(10**9), 10**9), 1
     if node.tag == "ol" and "reversed" in node.attrs:
         items = sum(isinstance(child, Node) and child.tag == "li" for child in node.children)
@@ -230,16 +244,16 @@ def _render(node: Node, flow: Flow, exact: bool, seen: bool) -> None:
                 flow.text(child.attrs.get("value", ""), False)
         elif tag == "q":
             flow.text("“", True) if visible else None
-            _render(child, flow, exact, visible)
+            yield _render(child, flow, exact, visible)
             flow.text("”", True) if visible else None
         elif tag == "table":
-            flow.block(_table(child, visible), True)
+            flow.block((yield _table(child, visible)), True)
         elif tag in BLOCK or display in ("block", "flex", "grid", "list-item"):
             if display.startswith("inline"):
-                _render(child, flow, exact, visible)
+                yield _render(child, flow, exact, visible)
                 continue
             inner = Flow()
-            _render(child, inner, exact or tag in ("pre", "xmp"), visible)
+            yield _render(child, inner, exact or tag in ("pre", "xmp"), visible)
             inner.flush()
             lines = inner.lines
             if tag == "li":
@@ -251,7 +265,7 @@ def _render(node: Node, flow: Flow, exact: bool, seen: bool) -> None:
                 lines = _indented(lines, "  ")
             flow.block(lines, tag in SPACED and not (tag in LISTS and node.tag == "li"))
         else:
-            _render(child, flow, exact or tag == "textarea" or _style(child, "white-space").startswith("pre"), visible)
+            yield _render(child, flow, exact or tag == "textarea" or _style(child, "white-space").startswith("pre"), visible)
 
 
 def _rows(node: Node, seen: bool) -> Iterator[tuple[Node, bool]]:
@@ -264,18 +278,18 @@ def _rows(node: Node, seen: bool) -> Iterator[tuple[Node, bool]]:
                 yield from _rows(child, visible)
 
 
-def _lines(node: Node, seen: bool) -> list[str]:
+def _lines(node: Node, seen: bool) -> Generator:
     flow = Flow()
-    _render(node, flow, False, seen)
+    yield _render(node, flow, False, seen)
     flow.flush()
     return flow.lines
 
 
-def _table(node: Node, seen: bool) -> list[str]:
-    """Rows of cells padded to the widths of their columns; spans keep their places."""
+def _table(node: Node, seen: bool) -> Generator:
+    """A task that gives rows of cells padded to the widths of their columns; spans keep their places."""
     outside = Node("div")
     outside.children = [c for c in node.children if isinstance(c, str) or c.tag not in ("tr", "tbody", "thead", "tfoot", "colgroup", "col")]
-    lines, grid, held = _lines(outside, seen), [], {}
+    lines, grid, held = (yield _lines(outside, seen)), [], {}
     for row, visible in _rows(node, seen):
         cells, column = {}, 0
         for cell in row.children:
@@ -289,7 +303,7 @@ def _table(node: Node, seen: bool) -> list[str]:
                 column += 1
             wide = _number(cell, "colspan", 1)
             shown = {"hidden": False, "visible": True}.get(_style(cell, "visibility"), visible)
-            cells[column] = (_lines(cell, shown), wide)
+            cells[column] = ((yield _lines(cell, shown)), wide)
             for at in range(column, column + wide):
                 held[at] = _number(cell, "rowspan", 1)
             column += wide
@@ -321,7 +335,7 @@ def visible_text(html: str) -> str:
     tree = parse(html)
     if not _shown(tree):
         return ""
-    return "\n".join(_lines(tree, _style(tree, "visibility") not in ("hidden", "collapse")))
+    return "\n".join(_done(_lines(tree, _style(tree, "visibility") not in ("hidden", "collapse"))))
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -331,8 +345,7 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     indented, table cells are padded to columns, preformatted text is kept. Heads, scripts, styles,
     templates, frames, closed details and elements hidden by attribute or inline style are left out;
     style sheets are not read. Null and empty pages give an empty text, text without tags comes back
-    with its white space collapsed, elements nested deeper than DEEPEST become siblings. Repeated rows
-    stay; an empty table gives no rows; other columns are ignored.
+    with its white space collapsed, elements may be nested to any depth. Repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
