@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from tallyframe.operators.ordered import with_row_index
 from tallyframe.session import stored
 
 THRESHOLD = 0.93
-PASSES = 8
+PASSES, MISSED = 8, 0.005  # at least so many passes; the share of pairs at the threshold that they may miss
 CODE_BITS = 48
 BLOCK = 256
 
@@ -31,6 +32,18 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     return usable.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
 
 
+def passes_for(rows: int, block: int = BLOCK, threshold: float = THRESHOLD) -> int:
+    """How many passes miss at most MISSED of the pairs at ``threshold`` among ``rows`` vectors of a label.
+
+    A pass puts a pair into one window if their codes agree on the leading bits that part ``rows`` vectors into
+    sets of a block; each bit agrees with probability 1 - angle / pi. This takes the vectors as spread
+    evenly over the codes.
+    """
+    bits = max(0.0, math.log2(max(rows, 1) / block))
+    met = (1 - math.acos(threshold) / math.pi) ** bits
+    return max(PASSES, math.ceil(math.log(MISSED) / math.log1p(-met))) if met < 1 else PASSES
+
+
 def projection_codes(classes: DataFrame, passes: int, seed: int) -> DataFrame:
     """Per distinct vector and pass its code: the signs of CODE_BITS random projections, one after the other."""
 
@@ -45,8 +58,9 @@ def projection_codes(classes: DataFrame, passes: int, seed: int) -> DataFrame:
                 own = np.flatnonzero(sizes == size)
                 if size not in planes:
                     planes[size] = np.random.default_rng([seed, size]).standard_normal((size, passes * CODE_BITS))
-                signs = (np.array([rows[k] for k in own], float) @ planes[size] > 0).reshape(len(own), passes, CODE_BITS)
-                codes[own] = signs @ weights
+                matrix = np.array([rows[k] for k in own], float)
+                for at in range(passes):  # one by one, so memory does not grow with their number
+                    codes[own, at] = (matrix @ planes[size][:, at * CODE_BITS : (at + 1) * CODE_BITS] > 0) @ weights
             found = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, passes, dtype=np.int32), pa.array(codes.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "codes"])
 
@@ -137,16 +151,18 @@ def count_links(members: DataFrame, threshold: float = THRESHOLD, chunk: int = 3
     return counted.groupBy("rep").agg(F.sum("links").alias("links"))
 
 
-def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, seed: int = 9) -> DataFrame:
+def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, passes: int | None = None, seed: int = 9) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per row of ``vectors``.
 
     Vectors of one label link where their cosine in double precision is at least ``threshold``. Pairs are
-    found as neighbours in sorted passes; then all pairs inside each component found are compared, so
+    found as neighbours in sorted passes, by default as many as the largest label needs; then all pairs inside each component found are compared, so
     a group larger than a window loses no link. A vector that is null, zero, of another length, or
     holds null or non-finite components, and one without label, links with nothing and stays. Rows
     that repeat a vec_id count as vectors of their own. An empty table gives no rows; other columns
     are ignored.
     """
+    if passes is None:
+        passes = passes_for(vectors.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
     classes = stored(projection_codes(vector_classes(vectors).where("rep IS NOT NULL"), passes, seed), "codes")
     links = neighbour_links(classes, passes, threshold=threshold)
     found = connected_components(links).withColumnRenamed("node", "rep")
