@@ -19,6 +19,7 @@ THRESHOLD = 0.93
 PASSES, MISSED = 8, 0.005  # at least so many passes; the share of pairs at the threshold that they may miss
 CODE_BITS = 48
 BLOCK = 256
+MOST_CELLS = 1 << 21  # of a matrix of cosines that is held at once
 
 
 def vector_classes(vectors: DataFrame) -> DataFrame:
@@ -125,12 +126,16 @@ def _counts(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         reps, copies = table["rep"].to_numpy(), table["copies"].to_numpy()
         asks, vectors = table["asks"].to_numpy(zero_copy_only=False), table["v"].to_pylist()
-        unit = _unit(vectors)
-        close = unit @ unit.T >= threshold
-        np.fill_diagonal(close, False)
-        if asks.any():  # two chunks: only pairs across
-            close &= asks[:, None] != asks[None, :]
-        return pa.table({"rep": reps, "links": close @ copies})
+        unit, links = _unit(vectors), np.zeros(len(reps), np.int64)
+        step = max(1, MOST_CELLS // max(len(reps), 1))
+        for at in range(0, len(reps), step):  # blocks of rows, so memory does not grow with the square of a unit
+            own = np.arange(at, min(at + step, len(reps)))
+            close = unit[own] @ unit.T >= threshold
+            close[own - at, own] = False
+            if asks.any():  # two chunks: only pairs across
+                close &= asks[own, None] != asks[None, :]
+            links[own] = close @ copies
+        return pa.table({"rep": reps, "links": links})
 
     return run
 
@@ -139,7 +144,8 @@ def count_links(members: DataFrame, threshold: float = THRESHOLD, chunk: int = 3
     """(rep, links) for ``members`` (component, rep, copies, v): all pairs of a component are compared.
 
     A component is cut into chunks, at most ``most_chunks``, and each pair of chunks is a group of
-    its own; a group returns one count per row, so no pair is written.
+    its own; a group returns one count per row, so no pair is written. Chunks grow with a component
+    beyond that, but a group compares them in blocks of rows of at most MOST_CELLS cosines.
     """
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("rows"))
     chunks = F.least(F.ceil(F.col("rows") / chunk), F.lit(most_chunks)).cast("long")
