@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +31,7 @@ _PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?<=0))"
 IP_PARTS = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
 CUES = r"(?i)(?:phone|tel\b|call|mobile|fax|mail|contact|write|card|visa|account|payment|\bip\b|host|address|server)"
 CONTEXT = 32
+SCORE_BINS = 1000
 FEATURES = ("kind", "digits", "length", "breaks", "luhn", "ip", "before", "after", "cue", "variety", "zero")
 
 
@@ -123,32 +123,32 @@ def fit(found: DataFrame, most_vectors: int = 20_000, precision: float = 0.95) -
     """The trees and a threshold per kind.
 
     Base forms teach: those that passed their check are cases, those that failed it are not. All
-    candidates of the corpus are counted per feature vector; at most ``most_vectors`` vectors, those
-    of the smallest hash, come to the driver. Half of the documents (by hash) fit the trees, the other
-    half sets each kind's threshold: the least score at which the share of cases is ``precision``.
+    candidates of the corpus are counted per feature vector. Half of the documents (by hash) fit the trees,
+    from at most ``most_vectors`` vectors, those of the smallest hash. All vectors of the other half are
+    scored by Spark and set each kind's threshold: the least score, in steps of 1 / SCORE_BINS, at which
+    the share of cases is ``precision``. Only sums per kind and step come to the driver.
     """
     each = found.select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("fold"), F.explode("found").alias("c")).where("c.checked")
-    counted = each.groupBy("c.f", "fold").agg(F.sum(F.col("c.base").cast("long")).alias("up"), F.count(F.lit(1)).alias("all"))
-    rows = counted.orderBy(F.xxhash64("f"), "f", "fold").limit(most_vectors).collect()
-    learn, hold = ([r for r in rows if r["fold"] == fold] for fold in (0, 1))
+    counted = stored(each.groupBy("c.f", "fold").agg(F.sum(F.col("c.base").cast("long")).alias("up"), F.count(F.lit(1)).alias("all")), "vectors")
+    learn = counted.where("fold = 0").orderBy(F.xxhash64("f"), "f").limit(most_vectors).collect()
     model = boosting.fit([r["f"] for r in learn], [r["up"] for r in learn], [r["all"] - r["up"] for r in learn]) if learn else boosting.Boosted(-9.0)
-    return model, _thresholds(model, hold, precision)
+    step = F.floor(model.score(F.col("f")) * SCORE_BINS).cast("int").alias("step")
+    held = counted.where("fold = 1").select(F.col("f")[0].alias("place"), step, "up", "all")
+    return model, _thresholds(held.groupBy("place", "step").agg(F.sum("up").alias("up"), F.sum("all").alias("all")).collect(), precision)
 
 
-def _thresholds(model: boosting.Boosted, rows: Sequence, precision: float) -> dict[str, float]:
+def _thresholds(rows: Sequence, precision: float) -> dict[str, float]:
+    """Per kind the least score from which on the share of cases is ``precision``, from sums per kind (its
+    ``place``) and ``step`` of the score; 0.5 for a kind of which no held-out document has a case or other."""
     limits = {}
     for place, kind in enumerate(KINDS):
-        own = [r for r in rows if r["f"][0] == place]
-        limits[kind] = 0.5
-        if not own:
-            continue
-        scores = 1.0 / (1.0 + np.exp(-model.logits(np.array([r["f"] for r in own]))))
-        order = np.argsort(-scores, kind="stable")
-        up = np.cumsum(np.array([r["up"] for r in own], float)[order])
-        share = up / np.cumsum(np.array([r["all"] for r in own], float)[order])
-        last = np.r_[scores[order][1:] != scores[order][:-1], True]
-        good = np.flatnonzero((share >= precision) & last)
-        limits[kind] = float(scores[order][good[-1]]) if len(good) else 1.1
+        own = sorted((r for r in rows if r["place"] == place), key=lambda r: -r["step"])
+        limits[kind] = 1.1 if own else 0.5
+        up = every = 0
+        for r in own:
+            up, every = up + r["up"], every + r["all"]
+            if up >= precision * every:
+                limits[kind] = r["step"] / SCORE_BINS
     return limits
 
 
