@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import embedding_dedup, exact_dedup, html_text, licenses, mixing, packing, pii, secrets_scan, simhash, toxicity
+from tallyframe.llm import centroids, embedding_dedup, exact_dedup, html_text, language_id, licenses, mixing, packing, pii, prefix_trie, secrets_scan, simhash, toxicity
 from tallyframe.llm.checks import ORACLES
 
 TOKENIZER = "word_bpe_49k.json"
@@ -65,6 +65,19 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_vectors(_table(spark, folder, "embeddings"))
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_pii": op2_pii,
@@ -76,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_centroids": op11_centroids,
+    "op12_language_id": op12_language_id,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 
