@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,19 +28,28 @@ class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer never joins characters across white space, so the ids of a text are those of its
-    words in turn, and words met before are looked up. Texts with control characters on which two
-    definitions of white space differ go through the tokenizer whole.
+    words in turn, and words met before are looked up. A new word is cut into the pieces that the tokenizer's own pattern
+    finds; new pieces go through the tokenizer together, as one text, and their ids are told apart by
+    the mark that only the last token of a piece has. Words with letters beyond Latin-1, whose lower case
+    need not be final, go through it one by one. Texts with control characters on which two
+    definitions of white space differ, and those that hold the string of a special token, go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        layout = json.loads(self.tokenizer.to_str())
+        self.whole = (*ODD_SPACE, *(token["content"] for token in layout["added_tokens"]))
+        self.pieces = regex.compile(layout["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        mark, vocabulary = layout["model"]["end_of_word_suffix"], self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[number for token, number in vocabulary.items() if token.endswith(mark)]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        if any(mark in text for mark in ODD_SPACE):
+        if any(mark in text for mark in self.whole):
             return b"".join(map(_four_bytes, self.tokenizer.encode(text, add_special_tokens=False).ids))
         words = text.split()
         try:
@@ -47,11 +59,48 @@ class WordIds:
             return b"".join(map(self.known.__getitem__, words))
 
     def learn(self, words: list[str]) -> None:
+        """Make all ``words`` known; words not met since the last change of generation are forgotten."""
         if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        new = list(dict.fromkeys(word for word in words if word not in self.known))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = b"".join(map(_four_bytes, found.ids))
+            self.known, self.older = {}, self.known
+        known, older, cut, pieces, foreign = self.known, self.older, {}, {}, []
+        for word in dict.fromkeys(words):
+            if word in known:
+                continue
+            if (ids := older.get(word)) is not None:
+                known[word] = ids
+            elif _latin(word):
+                cut[word] = parts = self.pieces.findall(word.lower())
+                for part in parts:
+                    if part not in known:
+                        if (ids := older.get(part)) is not None:
+                            known[part] = ids
+                        else:
+                            pieces[part] = None
+            else:
+                foreign.append(word)
+        for word, found in zip(foreign, self.tokenizer.encode_batch_fast(foreign, add_special_tokens=False)):
+            known[word] = np.array(found.ids, "<u4").tobytes()
+        self.learn_pieces(list(pieces))
+        for word, parts in cut.items():
+            known[word] = known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts))
+
+    def learn_pieces(self, pieces: list[str]) -> None:
+        if not pieces:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        if len(ends) != len(pieces):
+            raise ValueError("the tokenizer does not mark the end of each piece")
+        data = ids.tobytes()
+        self.known.update(zip(pieces, (data[start:end] for start, end in zip([0, *ends], ends))))
+
+
+def _latin(word: str) -> bool:
+    try:
+        word.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _four_bytes(number: int) -> bytes:

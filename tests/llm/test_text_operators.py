@@ -124,7 +124,6 @@ def test_packing(spark, given, awkward):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(registry.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     for docs, rows in ((given[0], given[1]), (awkward, AWKWARD)):
         pieces = packing.pack_documents(docs, registry.tokenizer_path()).collect()
         expected = []
@@ -146,6 +145,33 @@ def test_packing(spark, given, awkward):
     assert packing.pack_documents(awkward.limit(0), registry.tokenizer_path()).collect() == []
 
 
+def _plain_ids(tokenizer, text: str) -> bytes:
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_word_ids_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(registry.tokenizer_path())
+    words = packing.WordIds(registry.tokenizer_path())
+    rng = np.random.default_rng(6)
+    parts = ["a", "B", "'s", "'S", "don't", " ", "\n", "\xa0", "\x85", "\x1c", "é", "e\u0301", "İ", "ß", "Σς", "ﬁ", "漢", "😀", "1", "½", "--", "_", "\x00", "\ufeff", "***"]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 12))) for _ in range(3000)]
+    texts += ["", "one<|endoftext|>two", "<|startoftext|>", "<|ENDOFTEXT|> is not special"]
+    assert [text for text in texts if words.encode(text) != _plain_ids(tokenizer, text)] == []
+
+
+def test_forgotten_words_are_learned_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 20)
+    tokenizer = Tokenizer.from_file(registry.tokenizer_path())
+    words = packing.WordIds(registry.tokenizer_path())
+    texts = [" ".join(f"word{k % 7}, other{k}! again" for k in range(at, at + 15)) for at in range(0, 90, 6)]
+    assert all(words.encode(text) == _plain_ids(tokenizer, text) for text in texts)
+    assert len(words.known) < 120
+
+
 def _components(ids, linked) -> dict:
     parent = {i: i for i in ids}
 
