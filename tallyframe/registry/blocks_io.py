@@ -12,7 +12,7 @@ from tallyframe.registry.tables import Tables
 from tallyframe.sinks import files as sinks
 from tallyframe.sources import delimited
 from tallyframe.sources import files as sources
-from tallyframe.streaming.detections import parse_messages
+from tallyframe.streaming import detections
 from tallyframe.streaming.frames import decode_headers
 
 
@@ -75,13 +75,13 @@ def _semicolon(t: Tables) -> DataFrame:
     text = r"regexp_replace(review, '[;\r\n]', ' ')"
     lines = t.reviews.selectExpr(f"concat_ws(';', {number}, {text}, category, aspect, sentiment) AS value")
     read = sources.read_semicolon_typed(t.spark, _written_lines(t, lines, "reviews"))
-    return read.select(F.coalesce("id", F.lit(-1)).alias("id"), F.md5("review").alias("review_md5"), "category", "aspect", "sentiment")
+    return read.select("id", F.md5("review").alias("review_md5"), "category", "aspect", "sentiment")
 
 
 query(
     "src_5",
     _semicolon,
-    r"""SELECT CASE WHEN id % 10 <> 3 THEN CAST(id + CAST(id % 2 AS BIGINT) * 3000000000 AS BIGINT) ELSE -1 END AS id,
+    r"""SELECT CASE WHEN id % 10 <> 3 THEN CAST(id + CAST(id % 2 AS BIGINT) * 3000000000 AS BIGINT) END AS id,
                md5(nullif(regexp_replace(review, '[;\r\n]', ' ', 'g'), '')) AS review_md5, category, aspect, sentiment FROM reviews""",
     "reviews",
 )
@@ -127,8 +127,8 @@ def _projected(t: Tables) -> DataFrame:
 query("src_9", _projected, 'SELECT frame_id, "timestamp", person_count, process_latency_seconds FROM frames', "frames")
 query(
     "src_10",
-    lambda t: decode_headers(t.frame_messages).select(F.coalesce("frame_id", F.lit(-1)).alias("frame_id"), "timestamp", "source", F.length("value").alias("bytes")),
-    """SELECT CASE WHEN k % 7 = 0 OR k % 11 <> 0 THEN CAST(event_id AS BIGINT) ELSE -1 END AS frame_id, epoch_us(ts) / 1e6 AS "timestamp",
+    lambda t: decode_headers(t.frame_messages).select("frame_id", "timestamp", "source", F.length("value").alias("bytes")),
+    """SELECT CASE WHEN k % 7 = 0 OR k % 11 <> 0 THEN CAST(event_id AS BIGINT) END AS frame_id, epoch_us(ts) / 1e6 AS "timestamp",
               CASE WHEN k % 7 = 0 THEN 'unknown' ELSE event_type END AS source,
               CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS bytes FROM keyed_events""",
     "keyed_events",
@@ -136,21 +136,33 @@ query(
 
 
 def _messages(t: Tables) -> DataFrame:
+    """Both tables of the storage job: records, some with fields left out or of another type, and rejects."""
     whole = F.to_json(F.struct("frame_id", "timestamp", "person_count", "process_latency_seconds"))
     only_time = F.to_json(F.struct("timestamp"))
-    number = F.col("frame_id")
-    value = F.when(number % 9 == 0, "{not json").when(number % 9 == 1, only_time).otherwise(whole).alias("value")
-    records = parse_messages(t.frames.select(value))
-    return records.select("frame_id", "timestamp", "person_count", "process_latency_seconds")
+    unknown = F.to_json(F.struct(F.lit("unknown").alias("frame_id"), "timestamp", "person_count", F.array("frame_id").alias("process_latency_seconds")))
+    number = F.col("frame_id") % 9
+    value = F.when(number == 0, "{not json").when(number == 1, only_time).when(number == 2, unknown).when(number == 3, "[1]").otherwise(whole)
+    folder, table, rejects = t.scratch("messages"), t.scratch("records"), t.scratch("rejects")
+    t.frames.select(value.alias("value")).write.text(folder)
+    started = detections.store_detections(detections.message_files(t.spark, folder), table, t.scratch("progress"), {"availableNow": True}, rejects)
+    started.awaitTermination()
+    names = ["frame_id", "timestamp", "person_count", "process_latency_seconds"]
+    stored, refused = t.spark.read.parquet(table).select(*names), t.spark.read.parquet(rejects).select("value", "reason")
+    return stored.unionByName(refused, allowMissingColumns=True)
 
 
 query(
     "src_11",
     _messages,
-    """SELECT CASE WHEN frame_id % 9 = 1 THEN -1 ELSE frame_id END AS frame_id, "timestamp",
+    """SELECT CASE WHEN frame_id % 9 > 2 THEN frame_id ELSE -1 END AS frame_id, "timestamp",
               CASE WHEN frame_id % 9 = 1 THEN 0 ELSE person_count END AS person_count,
-              CASE WHEN frame_id % 9 = 1 THEN 0 ELSE coalesce(process_latency_seconds, 0) END AS process_latency_seconds
-       FROM frames WHERE frame_id % 9 <> 0""",
+              CASE WHEN frame_id % 9 < 3 THEN 0 ELSE coalesce(process_latency_seconds, 0) END AS process_latency_seconds,
+              CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS reason
+       FROM frames WHERE frame_id % 9 NOT IN (0, 3)
+       UNION ALL
+       SELECT NULL, NULL, NULL, NULL, CASE WHEN frame_id % 9 = 0 THEN '{not json' ELSE '[1]' END,
+              CASE WHEN frame_id % 9 = 0 THEN 'no JSON' ELSE 'no JSON object' END
+       FROM frames WHERE frame_id % 9 IN (0, 3)""",
     "frames",
 )
 query(

@@ -7,9 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyframe.functions.times import epoch_to_timestamp, timestamp_epoch
-from tallyframe.sources.files import DETECTION_SCHEMA
+from tallyframe.sources.files import BOX_SCHEMA
 
-CORRUPT = "_corrupt_record"
+# Type of each field of a record, as asked of the parsed message.
+FIELDS = {
+    "frame_id": "BIGINT",
+    "timestamp": "DOUBLE",
+    "person_count": "INT",
+    "detections": BOX_SCHEMA,
+    "process_latency_seconds": "DOUBLE",
+    "total_latency_seconds": "DOUBLE",
+}
+NO_TEXT, NO_JSON, NO_OBJECT = "no text", "no JSON", "no JSON object"  # reasons of a reject
 
 
 def message_files(spark: SparkSession, path: str) -> DataFrame:
@@ -24,21 +33,40 @@ def message_topic(spark: SparkSession, servers: str, topic: str, **options: str)
     return loaded.select(F.col("value").cast("string").alias("value"))
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """JSON text to records. Text that is no such record goes; missing fields get their default."""
-    schema = f"{DETECTION_SCHEMA}, {CORRUPT} STRING"
-    record = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    parsed = messages.select(record.alias("r")).where(F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull())
-    return parsed.select(
-        F.coalesce("r.frame_id", F.lit(-1)).alias("frame_id"),
-        F.coalesce("r.timestamp", timestamp_epoch(F.current_timestamp())).alias("timestamp"),
-        F.coalesce("r.person_count", F.lit(0)).alias("person_count"),
-        "r.detections",
-        F.coalesce("r.process_latency_seconds", F.lit(0.0)).alias("process_latency_seconds"),
-        "r.total_latency_seconds",
+def checked_messages(messages: DataFrame) -> DataFrame:
+    """(value, message, reason): the JSON text parsed once, or the reason why it is no record.
+
+    Only text that is not a JSON object is rejected; a field of another type than asked for is not.
+    """
+    message = F.try_parse_json("value")
+    kind = F.schema_of_variant("message")
+    reason = F.when(F.col("value").isNull() | (F.trim("value") == ""), NO_TEXT).when(F.col("message").isNull(), NO_JSON)
+    return messages.select("value", message.alias("message")).withColumn("reason", reason.when(~kind.startswith("OBJECT"), NO_OBJECT))
+
+
+def _records(checked: DataFrame) -> DataFrame:
+    field = {name: F.try_variant_get("message", f"$.{name}", kind) for name, kind in FIELDS.items()}
+    return checked.where("reason IS NULL").select(
+        F.coalesce(field["frame_id"], F.lit(-1)).alias("frame_id"),
+        F.coalesce(field["timestamp"], timestamp_epoch(F.current_timestamp())).alias("timestamp"),
+        F.coalesce(field["person_count"], F.lit(0)).alias("person_count"),
+        field["detections"].alias("detections"),
+        F.coalesce(field["process_latency_seconds"], F.lit(0.0)).alias("process_latency_seconds"),
+        field["total_latency_seconds"].alias("total_latency_seconds"),
     )
 
 
+def parse_messages(messages: DataFrame) -> DataFrame:
+    """JSON text to records, field by field: one that is missing or of another type gets its default, the others
+    stay. Text that does not start with a JSON object goes; ``rejected_messages`` has it."""
+    return _records(checked_messages(messages))
+
+
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """(value, reason) of the messages that are no records."""
+    return checked_messages(messages).where("reason IS NOT NULL").select("value", "reason")
+
+
 def with_ingest_columns(records: DataFrame) -> DataFrame:
     """Add the time of ingest and the capture time as a timestamp."""
     return records.withColumns(
@@ -54,6 +82,27 @@ def append_stream(
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start(path)
 
 
-def store_detections(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """The whole storage job: messages -> records -> ingest columns -> table."""
-    return append_stream(with_ingest_columns(parse_messages(messages)), path, checkpoint, trigger)
+def store_detections(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, rejects: str | None = None
+) -> StreamingQuery:
+    """The whole storage job: messages -> records -> ingest columns -> table.
+
+    With ``rejects`` each batch is parsed once and written to two tables, records to ``path`` and messages
+    that are none, with their reason and time, to ``rejects``. Both are partitioned by the number
+    of the batch, and a batch that runs again after a failure replaces what it wrote, so every message
+    is in one table once.
+    """
+    if rejects is None:
+        return append_stream(with_ingest_columns(parse_messages(messages)), path, checkpoint, trigger)
+
+    def put(batch: DataFrame, number: int) -> None:
+        checked = batch.persist()
+        try:
+            with_ingest_columns(_records(checked)).write.mode("overwrite").parquet(f"{path}/batch={number}")
+            refused = checked.where("reason IS NOT NULL").select("value", "reason", F.current_timestamp().alias("inserted_at"))
+            refused.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        finally:
+            checked.unpersist()
+
+    writer = checked_messages(messages).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()

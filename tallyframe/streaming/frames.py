@@ -54,41 +54,50 @@ def decode_headers(messages: DataFrame) -> DataFrame:
 def detect(frames: DataFrame, load_detector: LoadDetector, partitions: int | None = None) -> DataFrame:
     """Run a detector over the frames and skip those it cannot decode.
 
-    The detector is loaded once per task and called with all payloads of an Arrow batch; it gives
-    back the boxes per payload, or None for a payload that is no image. Where a model takes longer
-    than moving a frame, ``partitions`` deals the frames out evenly to that many tasks.
+    The detector is loaded once per task and given all payloads of an Arrow batch; it gives
+    back the boxes per payload, or None for a payload that is no image. Its answers are taken one by one and
+    both clocks are read when a frame's answer is there, so a detector that works frame by frame is timed
+    frame by frame (one that answers for the whole batch at once has its time on the first frame).
+    Where a model takes longer than moving a frame, ``partitions`` deals the frames out evenly to that many tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = load_detector()
         for batch in batches:
+            found, worked, done = [], [], []
             started = time.perf_counter()
-            found = list(find(batch.column("value").to_pylist()))
-            seconds = (time.perf_counter() - started) / max(len(found), 1)
-            kept = batch.filter(pa.array([boxes is not None for boxes in found], pa.bool_()))
+            for boxes in find(batch.column("value").to_pylist()):
+                ended = time.perf_counter()
+                found.append(boxes)
+                worked.append(ended - started)
+                done.append(time.time())
+                started = ended
+            seen = pa.array([boxes is not None for boxes in found], pa.bool_())
+            kept = batch.filter(seen)
             boxes = [[{"box": box, "confidence": score} for box, score in row] for row in found if row is not None]
             columns = {
                 "frame_id": kept.column("frame_id"),
                 "timestamp": kept.column("timestamp"),
                 "detections": pa.array(boxes, ARROW_BOXES),
-                "process_latency_seconds": pa.repeat(seconds, len(boxes)),
+                "process_latency_seconds": pa.array(worked, pa.float64()).filter(seen),
+                "done": pa.array(done, pa.float64()).filter(seen),
             }
             yield pa.RecordBatch.from_pydict(columns)
 
-    schema = f"frame_id BIGINT, timestamp DOUBLE, detections {BOX_SCHEMA}, process_latency_seconds DOUBLE"
+    schema = f"frame_id BIGINT, timestamp DOUBLE, detections {BOX_SCHEMA}, process_latency_seconds DOUBLE, done DOUBLE"
     slim = frames.select("frame_id", "timestamp", "value")
     return (slim.repartition(partitions) if partitions else slim).mapInArrow(run, schema)
 
 
 def detection_records(found: DataFrame) -> DataFrame:
-    """Add the number of boxes and the time since capture."""
+    """Add the number of boxes and the time from capture until the frame was done."""
     return found.select(
         "frame_id",
         "timestamp",
         F.size("detections").alias("person_count"),
         "detections",
         "process_latency_seconds",
-        (timestamp_epoch(F.current_timestamp()) - F.col("timestamp")).alias("total_latency_seconds"),
+        (F.col("done") - F.col("timestamp")).alias("total_latency_seconds"),
     )
 
 

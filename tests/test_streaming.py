@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,16 +30,46 @@ def store(spark, folder, tmp_path):
 
 def test_storage_skips_bad_messages_and_fills_missing_fields(spark, rows, tmp_path):
     folder = tmp_path / "in"
-    put(folder, "a.json", record(1, 3), "{broken", "", {"timestamp": 7.25}, {"frame_id": "x"}, {"frame_id": 4})
+    put(folder, "a.json", record(1, 3), "{broken", "", {"timestamp": 7.25}, {"frame_id": "unknown", "timestamp": 8.5, "person_count": 2}, {"frame_id": 4})
     table = store(spark, folder, tmp_path)
     found = rows(table.where("frame_id <> 4"), "frame_id", "timestamp", "person_count", "process_latency_seconds")
-    assert found == [(-1, 7.25, 0, 0.0), (1, 1001.5, 3, 0.05)]
+    assert found == [(-1, 7.25, 0, 0.0), (-1, 8.5, 2, 0.0), (1, 1001.5, 3, 0.05)]
     assert table.where("inserted_at is null or datetime is null").count() == 0
     assert table.where("frame_id = 1").select(F.col("datetime").cast("string")).first()[0] == "1970-01-01 00:16:41.5"
     now = table.where("frame_id = 4").selectExpr("abs(timestamp - unix_micros(inserted_at) / 1e6) < 5").first()[0]
     assert now
 
 
+def test_messages_that_are_no_records_are_kept_with_their_reason(spark, rows):
+    texts = ['{"frame_id": 1}', "{broken", "[1]", "7", "null", "", "  ", None, '{"detections": [{"box": [1, 2], "confidence": "x"}], "person_count": {}}']
+    messages = spark.createDataFrame([(text,) for text in texts], "value string")
+    refused = [("", "no text"), ("  ", "no text"), ("7", "no JSON object"), ("[1]", "no JSON object"), ("null", "no JSON object"), ("{broken", "no JSON")]
+    assert rows(detections.rejected_messages(messages)) == sorted([*refused, (None, "no text")], key=repr)
+    found = detections.parse_messages(messages)
+    assert rows(found, "frame_id", "person_count") == [(-1, 0), (1, 0)]
+    assert [list(box.box) for box in found.where("frame_id = -1").first().detections] == [[1, 2]]
+
+
+def test_records_and_rejects_of_a_batch_are_written_once(spark, rows, tmp_path):
+    folder, table, rejects, progress = (str(tmp_path / name) for name in ("in", "table", "rejects", "progress"))
+
+    def run():
+        messages = detections.message_files(spark, folder)
+        detections.store_detections(messages, table, progress, ONCE, rejects).awaitTermination()
+        return rows(spark.read.parquet(table), "frame_id"), rows(spark.read.parquet(rejects), "value")
+
+    put(tmp_path / "in", "a.json", record(1), "{one", record(2))
+    assert run() == ([(1,), (2,)], [("{one",)])
+    put(tmp_path / "in", "b.json", record(3), "{two")
+    assert run() == ([(1,), (2,), (3,)], [("{one",), ("{two",)])
+    (tmp_path / "progress" / "commits" / "1").unlink()  # as after a failure between writing and committing
+    for crc in (tmp_path / "progress" / "commits").glob(".1.crc"):
+        crc.unlink()
+    assert run() == ([(1,), (2,), (3,)], [("{one",), ("{two",)])
+    assert {path.name for path in (tmp_path / "table").iterdir()} == {"batch=0", "batch=1"}
+    assert spark.read.parquet(rejects).where("inserted_at is null").count() == 0
+
+
 def test_a_restart_goes_on_where_it_stopped(spark, rows, tmp_path):
     folder = tmp_path / "in"
     put(folder, "a.json", record(1), record(2))
@@ -72,6 +103,32 @@ def test_detector_skips_undecodable_frames(spark, rows):
     assert found.where("process_latency_seconds < 0 or total_latency_seconds < 0").count() == 0
 
 
+def uneven(delays):
+    """A detector that takes the given seconds per frame."""
+
+    def load():
+        def find(payloads):
+            for payload, delay in zip(payloads, delays):
+                time.sleep(delay)
+                yield None if payload == b"bad" else [((0, 0, 1, 1), 0.5)]
+
+        return find
+
+    return load
+
+
+def test_each_frame_has_clocks_of_its_own(spark):
+    delays = [0.3, 0.0, 0.1, 0.0]
+    taken = time.time()
+    given = [(number, taken, b"bad" if number == 1 else b"ok") for number in range(4)]
+    messages = spark.createDataFrame(given, "frame_id long, timestamp double, value binary").coalesce(1)
+    found = {row["frame_id"]: row for row in frames.detection_records(frames.detect(messages, uneven(delays))).collect()}
+    assert sorted(found) == [0, 2, 3]
+    for number, row in found.items():
+        assert delays[number] <= row["process_latency_seconds"] < delays[number] + 0.09
+        assert row["total_latency_seconds"] >= sum(delays[: number + 1])
+
+
 @pytest.mark.parametrize("batch", ["1", "100"])
 def test_detector_is_called_with_whole_batches(spark, rows, batch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
@@ -102,13 +159,35 @@ def test_running_counters_equal_the_batch_after_each_run(spark, rows, tmp_path):
 
 
 def test_trend_keeps_the_newest_over_all_batches(spark, rows, tmp_path):
-    folder = tmp_path / "in"
-    for batch, numbers in enumerate(([5, 9, 1], [2, 8], [3])):
+    folder, trend = tmp_path / "in", str(tmp_path / "trend")
+    for batch, (numbers, newest) in enumerate((([5, 9, 1], [1, 5, 9]), ([2, 8], [5, 8, 9]), ([3], [5, 8, 9]), ([11], [8, 9, 11]))):
         put(folder, f"{batch}.json", *[record(number) for number in numbers])
         stream = detections.parse_messages(detections.message_files(spark, str(folder)))
-        live.trend_stream(stream, str(tmp_path / "table"), str(tmp_path / "trend"), str(tmp_path / "progress"), ONCE, k=3).awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "trend" / "batch=2")), "frame_id") == [(5,), (8,), (9,)]
-    assert spark.read.parquet(str(tmp_path / "table")).count() == 6
+        before = live.read_trend(spark, trend) if batch else None
+        live.trend_stream(stream, str(tmp_path / "table"), trend, str(tmp_path / "progress"), ONCE, k=3).awaitTermination()
+        assert sorted(row["frame_id"] for row in live.read_trend(spark, trend).collect()) == newest
+        assert before is None or before.count() == 3  # a reader under way can finish
+        versions = {f"version-{number}" for number in (batch - 1, batch) if number >= 0}
+        assert {path.name for path in (tmp_path / "trend").iterdir() if not path.name.startswith(".")} == versions | {"CURRENT"}
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 7
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, rows, tmp_path):
+    folder, trend = tmp_path / "in", str(tmp_path / "trend")
+
+    def run():
+        stream = detections.parse_messages(detections.message_files(spark, str(folder)))
+        live.trend_stream(stream, str(tmp_path / "table"), trend, str(tmp_path / "progress"), ONCE, k=3).awaitTermination()
+        return rows(live.read_trend(spark, trend), "frame_id")
+
+    put(folder, "a.json", record(4), record(6))
+    run()
+    put(folder, "b.json", record(5), record(7))
+    assert run() == [(5,), (6,), (7,)]
+    for done in [*(tmp_path / "progress" / "commits").glob("1"), *(tmp_path / "progress" / "commits").glob(".1.crc")]:
+        done.unlink()
+    assert run() == [(5,), (6,), (7,)]
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 4
 
 
 def test_topics_need_the_connector(spark):
