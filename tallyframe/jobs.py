@@ -22,6 +22,7 @@ from tallyframe.streaming import detections
 from tallyframe.streaming import frames as frame_stream
 
 SALES_TABLES = ("Orders", "Customer_List", "Order_Items", "Order_Reviews", "Products")
+SALES_TYPES = {"Order_Item_ID": "INT", "Price": "DECIMAL(12,2)", "Freight_Value": "DECIMAL(12,2)"}  # all other columns are text
 
 
 def _parsed(spark: SparkSession, paths: str | Sequence[str], layout: delimited.Layout, mode: str) -> DataFrame:
@@ -96,9 +97,10 @@ def review_reports(spark: SparkSession, reviewed: str, stopwords: str, output: s
 
 
 def read_shop(spark: SparkSession, folder: str, schemas: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """The five exported tables, their types inferred where no schema is given."""
-    given = schemas or {}
-    return {name: stored(files.read_quoted_csv(spark, f"{folder}/{name}.csv", given.get(name)), name) for name in SALES_TABLES}
+    """The five exported tables, cleaned and stored, so that filters on parsed times reach their scan."""
+    given, clean = schemas or {}, {"Orders": sales.clean_orders, "Order_Items": sales.clean_items}
+    read = {name: files.read_quoted_csv(spark, f"{folder}/{name}.csv", given.get(name, SALES_TYPES)) for name in SALES_TABLES}
+    return {name: stored(clean[name](table) if name in clean else table, name) for name, table in read.items()}
 
 
 def sales_reports(
@@ -110,7 +112,7 @@ def sales_reports(
     schemas: dict[str, str] | None = None,
 ) -> None:
     shop = read_shop(spark, folder, schemas)
-    orders, items = sales.clean_orders(shop["Orders"]), sales.clean_items(shop["Order_Items"])
+    orders, items = shop["Orders"], shop["Order_Items"]
     customers, scores, products = shop["Customer_List"], shop["Order_Reviews"], shop["Products"]
     reports = {
         "overview": sales.overview(orders, customers, items),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.text import strip_carriage_return
+from tallyframe.sources.quoted import quoted_records
 
 REVIEW_SCHEMA = "id BIGINT, review STRING, category STRING, aspect STRING, sentiment STRING"
 BOX_SCHEMA = "ARRAY<STRUCT<box: ARRAY<INT>, confidence: DOUBLE>>"
@@ -36,16 +37,29 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_quoted_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: str | T.StructType | dict[str, str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """``;`` with header and ``"`` quoting, doubled inside a field.
 
-    Without a schema one more pass infers it. Fields with line breaks need ``multi_line``, which
-    reads a file in one task; turn it off for large files without such fields.
+    ``schema`` names the columns in their order, or is a dict of types by name: then the header gives the
+    columns, those not in the dict being text. Line breaks inside fields are allowed unless ``multi_line`` is
+    off; a file is split over tasks either way, as long as quotes stand for quoting only. Without a
+    schema the types are inferred by one more pass, which reads a file with such fields in one task.
     """
-    reader = spark.read.option("header", True).option("sep", ";").option("quote", '"').option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    options = {"sep": ";", "quote": '"', "escape": '"'}
+    reader = spark.read.options(header=True, **options)
+    if isinstance(schema, dict):
+        schema = T.StructType([T.StructField(name, _type(schema.get(name, "STRING"))) for name in reader.csv(path).columns])
+    if schema is None:
+        return reader.option("multiLine", multi_line).option("inferSchema", True).csv(path)
+    if not multi_line:
+        return reader.schema(schema).csv(path)
+    layout = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    return quoted_records(spark, path).select(F.from_csv("text", layout.toDDL(), options).alias("row")).select("row.*")
+
+
+def _type(name: str) -> T.DataType:
+    return T.StructType.fromDDL(f"field {name}")["field"].dataType
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType | None = DETECTION_SCHEMA) -> DataFrame:

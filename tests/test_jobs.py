@@ -95,6 +95,23 @@ def test_sales_reports_from_text_with_inferred_types(spark, tmp_path):
     assert [row[1] for row in report("seller_ranking")] == ["s1", "s2"]
 
 
+def test_the_year_reaches_the_scan_of_the_stored_orders(spark, tmp_path, capsys):
+    (tmp_path / "Orders.csv").write_text(
+        "Order_ID;Customer_Trx_ID;Order_Status;Order_Purchase_Timestamp;Order_Approved_At;Order_Delivered_Carrier_Date;"
+        'Order_Delivered_Customer_Date;Order_Estimated_Delivery_Date\no1;"c\n1";done;2024-01-05 10:00;;;;\n'
+    )
+    (tmp_path / "Order_Items.csv").write_text(
+        "Order_ID;Order_Item_ID;Product_ID;Seller_ID;Shipping_Limit_Date;Price;Freight_Value\no1;1;p1;s1;2024-01-07 10:00;10.5;1.5\n"
+    )
+    for name in ("Customer_List", "Order_Reviews", "Products"):
+        (tmp_path / f"{name}.csv").write_text("Product_ID;Product_Category_Name\np1;toys\n")
+    shop = jobs.read_shop(spark, str(tmp_path))
+    assert dict(shop["Order_Items"].dtypes)["Price"] == "decimal(12,2)"
+    jobs.sales.revenue_by_category(shop["Order_Items"], shop["Orders"], shop["Products"], 2024).explain("formatted")
+    pushed = [line for line in capsys.readouterr().out.splitlines() if "PushedFilters" in line and "Order_Purchase_TS" in line]
+    assert any("GreaterThanOrEqual(Order_Purchase_TS" in line and "LessThan(Order_Purchase_TS" in line for line in pushed)
+
+
 def test_frame_jobs(spark, tmp_path):
     (tmp_path / "in").mkdir()
     records = [{"frame_id": i, "timestamp": 100.0 + i, "person_count": i, "process_latency_seconds": 0.05, "total_latency_seconds": 0.1} for i in range(6)]

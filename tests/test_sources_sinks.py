@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyframe.sinks import files as sinks
-from tallyframe.sources import delimited, files
+from tallyframe.sources import delimited, files, quoted
 
 CONTROL = "".join(map(chr, range(0x21)))
 RATING_LINES = [
@@ -122,6 +122,62 @@ def test_quoted_csv_with_line_breaks(spark, rows, tmp_path):
     assert rows(files.read_quoted_csv(spark, str(path))) == [(1, 'a;b\nc "d"', 2.5), (2, None, 3.0)]
     typed = files.read_quoted_csv(spark, str(path), "Order_ID STRING, Note STRING, Price DECIMAL(12,2)")
     assert dict(typed.dtypes)["Price"] == "decimal(12,2)" and typed.count() == 2
+    named = files.read_quoted_csv(spark, str(path), {"Price": "DOUBLE", "Other": "INT"})
+    assert rows(named) == [("1", 'a;b\nc "d"', 2.5), ("2", None, 3.0)]
+
+
+LAYOUT = "id INT, text STRING, other STRING"
+
+
+def awkward_fields(spark, count):
+    """Fields with line breaks, quotes and separators of many lengths, so that borders of blocks fall everywhere."""
+    text = (
+        "CASE id % 6 WHEN 0 THEN repeat(concat('line ', id, '\\n'), id % 37) WHEN 1 THEN concat('say \"', id, '\"; \"\"') WHEN 2 THEN ''"
+        " WHEN 3 THEN repeat('\\n', id % 50 + 1) WHEN 4 THEN NULL ELSE repeat('\"\\n;', id % 90) END"
+    )
+    return spark.range(count).selectExpr("CAST(id AS INT) AS id", f"{text} AS text", "concat('x', id) AS other")
+
+
+@pytest.mark.parametrize(("block", "count"), [("40b", 60), ("1k", 400), ("128m", 400)])
+def test_quoted_csv_is_split_inside_records(spark, rows, tmp_path, block, count):
+    given = awkward_fields(spark, count)
+    given.coalesce(1).write.options(header=True, sep=";", escape='"', quoteAll=False).csv(str(tmp_path / "one"))
+    given.repartition(3).write.options(header=True, sep=";", escape='"', quoteAll=True).csv(str(tmp_path / "three"))
+    for folder in ("one", "three"):
+        path = str(tmp_path / folder)
+        plain = spark.read.schema(LAYOUT).options(header=True, sep=";", escape='"', multiLine=True).csv(path)
+        kept = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        try:
+            found = files.read_quoted_csv(spark, path, LAYOUT)
+            assert rows(found) == rows(plain) and found.count() == count
+            blocks = quoted.quoted_lines(spark, path).select("file", "block").distinct().count()
+            assert blocks > (100 if block == "40b" else 0)
+        finally:
+            for key, value in kept.items():
+                spark.conf.set(key, value)
+
+
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
+    awkward_fields(spark, 60_000).coalesce(1).write.options(header=True, sep=";", escape='"').csv(str(tmp_path / "big"))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        found = files.read_quoted_csv(spark, str(tmp_path / "big"), LAYOUT)
+        tasks = found.select(F.spark_partition_id().alias("task")).where("id IS NOT NULL").distinct().count()
+        assert tasks > 4 and found.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_quoted_csv_with_carriage_returns_and_an_open_end(spark, rows, tmp_path):
+    (tmp_path / "crlf.csv").write_bytes(b'a;b\r\n1;"x\r\ny"\r\n\r\n2;z\r\n')
+    assert rows(files.read_quoted_csv(spark, str(tmp_path / "crlf.csv"), "a INT, b STRING")) == [(1, "x\ny"), (2, "z")]
+    (tmp_path / "open.csv").write_text('a;b\n1;x\n2;"never closed\n3;y\n')
+    assert rows(files.read_quoted_csv(spark, str(tmp_path / "open.csv"), "a INT, b STRING"), "a") == [(1,), (2,)]
+    (tmp_path / "none.csv").write_text("a;b\n")
+    assert rows(files.read_quoted_csv(spark, str(tmp_path / "none.csv"), "a INT, b STRING")) == []
 
 
 def test_json_lines_round_trip(spark, rows, tmp_path):
