@@ -15,7 +15,7 @@ from tallyframe.functions.times import days_between, in_year, parse_minute
 from tallyframe.operators.aggregates import count_by, distinct_values
 from tallyframe.operators.ordered import dense_rank_all, exact_quantile, sketched_quantile
 from tallyframe.operators.rows import union_all
-from tallyframe.session import cut
+from tallyframe.session import stored
 
 # Text column -> parsed column, and the names of the overview metrics.
 ORDER_TIMES = {
@@ -191,8 +191,8 @@ def _customer_metrics(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _segmented(orders: DataFrame, items: DataFrame, fraction: float, relative_error: float) -> DataFrame:
-    """The metrics are read twice, for the limit and for the segments, so they are cut off once."""
-    metrics = cut(_customer_metrics(orders, items))
+    """The metrics are read for the limit, of one column, and for the segments, so they are stored once."""
+    metrics = stored(_customer_metrics(orders, items), "metrics")
     if relative_error > 0:
         limit = sketched_quantile(metrics, "Average_Order_Value", fraction, relative_error)
     else:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -78,6 +79,37 @@ def test_exact_quantile_is_the_value_at_its_rank(spark, fraction):
     assert [row.quantile for row in ordered.exact_quantile(df, "k", fraction).collect()] == [values[rank]]
 
 
+@pytest.mark.parametrize("shape", ["spread", "few", "one", "skewed", "decimal", "day", "special"])
+@pytest.mark.parametrize("fraction", [0.0, 0.31, 0.75, 1.0])
+def test_selection_equals_the_sorted_values(spark, shape, fraction):
+    kinds = {
+        "spread": "rand(5)",
+        "few": "CAST(rand(5) * 7 AS INT)",
+        "one": "3",
+        "skewed": "CASE WHEN id % 3 = 0 THEN 10L ELSE CAST(pow(rand(5), 9) * 1000 AS BIGINT) END",
+        "decimal": "CAST(rand(5) * 1000 AS DECIMAL(12,2))",
+        "day": "date_add(DATE'2020-01-01', CAST(rand(5) * 900 AS INT))",
+        "special": "CASE id % 50 WHEN 0 THEN double('NaN') WHEN 1 THEN double('-Infinity') ELSE rand(5) END",
+    }
+    df = spark.range(3000).selectExpr(f"CASE WHEN id % 11 > 0 THEN {kinds[shape]} END AS x").repartition(5)
+    values = [row.x for row in df.where("x IS NOT NULL").orderBy("x").collect()]
+    expected = values[max(math.ceil(len(values) * fraction) - 1, 0)]
+    for rows, accuracy in ((20, 50), (400, 1000), (1 << 16, 10_000)):
+        found = [row.quantile for row in ordered.exact_quantile(df, "x", fraction, rows, accuracy).collect()]
+        assert found == [expected] or (found[0] != found[0] and expected != expected)
+
+
+def test_selection_sorts_a_slice_only(spark):
+    found = ordered.exact_quantile(spark.range(200_000).selectExpr("hash(id) AS x"), "x", 0.5, slice_rows=500)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan and found.count() == 1
+
+
+def test_quantile_of_text_is_its_value_too(spark):
+    words = spark.createDataFrame([(word,) for word in "delta alpha echo bravo charlie".split()], "x string")
+    assert [row.quantile for row in ordered.exact_quantile(words, "x", 0.5, slice_rows=2).collect()] == ["charlie"]
+
+
 def test_quantile_of_nothing_is_no_row_and_null(spark):
     empty = spark.range(3).select(F.lit(None).cast("double").alias("x"))
     assert ordered.exact_quantile(empty, "x", 0.75).collect() == []
