@@ -21,15 +21,22 @@ def with_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_inde
     """Number all rows from 0 in the given order.
 
     Rows are range-partitioned and sorted; equal keys are told apart by their input position, so a
-    key that holds much of the data is still split. The numbered partitions are cut off into the
-    shared folder, as a recomputed sample could draw other borders. Each partition starts where
-    those before it end; that table has one row per partition. Without ``partitions`` adaptive
-    execution merges small neighbouring ranges.
+    key that holds much of the data is still split. Without ``partitions`` adaptive execution merges small
+    neighbouring ranges.
     """
     keys = [*order, F.col("_tie")]
     tied = df.withColumn("_tie", F.monotonically_increasing_id())
     ranged = tied.repartitionByRange(partitions, *keys) if partitions else tied.repartitionByRange(*keys)
-    placed = cut(ranged.sortWithinPartitions(*keys).drop("_tie").withColumn("_at", F.monotonically_increasing_id()))
+    return number_as_given(ranged.sortWithinPartitions(*keys).drop("_tie"), name)
+
+
+def number_as_given(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Number all rows from 0 in the order in which they lie, that of a sorted frame above all.
+
+    The partitions are cut off into the shared folder, as a recomputed sort could draw other borders. Each
+    partition starts where those before it end; that table has one row per partition.
+    """
+    placed = cut(df.withColumn("_at", F.monotonically_increasing_id()))
     numbered = placed.select(
         *df.columns,
         F.shiftright("_at", ROW_BITS).alias("_part"),

@@ -347,30 +347,28 @@ query(
 )
 query(
     "srt_1",
-    lambda t: ordered.with_row_index(ratings.movie_average(t.movies, t.ratings), [F.asc("movie_id")], "place"),
+    lambda t: ordered.number_as_given(ratings.movie_average(t.movies, t.ratings), "place"),
     """SELECT movie_id, title, avg(rating) AS avg, count(*) AS n, row_number() OVER (ORDER BY movie_id) - 1 AS place
        FROM ratings JOIN movies USING (movie_id) GROUP BY movie_id, title""",
     "ratings movies",
 )
 query(
     "srt_2",
-    lambda t: ordered.with_row_index(
-        frames.peak_frames(t.frames), [F.desc("person_count"), F.asc("frame_id")], "place"
-    ),
+    lambda t: ordered.number_as_given(frames.peak_frames(t.frames), "place"),
     """SELECT frame_id, person_count, process_latency_seconds, row_number() OVER (ORDER BY person_count DESC, frame_id) - 1 AS place
        FROM frames WHERE person_count >= 4""",
     "frames",
 )
 query(
     "srt_3",
-    lambda t: aggregates.count_by(t.items, ["Seller_ID"]).orderBy(F.desc("n")),
-    "SELECT Seller_ID, count(*) AS n FROM shop_items GROUP BY 1 ORDER BY 2 DESC",
+    lambda t: ordered.number_as_given(aggregates.count_by(t.items, ["Seller_ID"]).orderBy(F.desc("n"), "Seller_ID"), "place"),
+    "SELECT Seller_ID, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, Seller_ID) - 1 AS place FROM shop_items GROUP BY 1",
     "shop_items",
 )
 query(
     "srt_4",
-    lambda t: ordered.with_row_index(
-        t.movies.select("movie_id", F.col("movie_id").cast("string").alias("id_text")), [F.asc("id_text")], "place"
+    lambda t: ordered.number_as_given(
+        t.movies.select("movie_id", F.col("movie_id").cast("string").alias("id_text")).orderBy("id_text"), "place"
     ),
     """SELECT movie_id, CAST(movie_id AS VARCHAR) AS id_text, row_number() OVER (ORDER BY CAST(movie_id AS VARCHAR)) - 1 AS place
        FROM movies""",
