@@ -18,7 +18,7 @@ from tallyframe.plans import frames, ratings, reviews, sales
 from tallyframe.session import build_session, stored
 from tallyframe.sinks.files import overwrite_csv, save_result, write_delimited, write_lines
 from tallyframe.sources import delimited, files
-from tallyframe.streaming import detections
+from tallyframe.streaming import detections, live
 from tallyframe.streaming import frames as frame_stream
 
 SALES_TABLES = ("Orders", "Customer_List", "Order_Items", "Order_Reviews", "Products")
@@ -147,10 +147,12 @@ def frame_reports(spark: SparkSession, table: str, output: str, form: str = "par
     write_lines(frames.report_lines(rows).select("value").coalesce(1), f"{output}/summary_report")
 
 
-def storage_job(spark: SparkSession, messages: str, table: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """JSON messages in a folder into the table of detections."""
+def storage_job(
+    spark: SparkSession, messages: str, table: str, checkpoint: str, once: bool = False, rejects: str | None = None
+) -> StreamingQuery:
+    """JSON messages in a folder into the table of detections, and those that are no records into ``rejects``."""
     trigger = {"availableNow": True} if once else None
-    return detections.store_detections(detections.message_files(spark, messages), table, checkpoint, trigger)
+    return detections.store_detections(detections.message_files(spark, messages), table, checkpoint, trigger, rejects)
 
 
 def detector_job(
@@ -160,12 +162,19 @@ def detector_job(
     checkpoint: str,
     load_detector: frame_stream.LoadDetector,
     once: bool = False,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Frame messages in a folder into JSON messages, by a detector of the caller."""
-    found = frame_stream.detection_messages(frame_stream.frame_files(spark, messages), load_detector)
+    found = frame_stream.detection_messages(frame_stream.frame_files(spark, messages), load_detector, repeats_within)
     return detections.append_stream(found, output, checkpoint, {"availableNow": True} if once else None, "text")
 
 
+def trend_job(spark: SparkSession, messages: str, table: str, trend: str, checkpoint: str, once: bool = False, k: int = 50) -> StreamingQuery:
+    """JSON messages in a folder into a table, and the newest ``k`` of all into a trend that is replaced."""
+    records = detections.parse_messages(detections.message_files(spark, messages))
+    return live.trend_stream(records, table, trend, checkpoint, {"availableNow": True} if once else None, k)
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyframe.jobs")
     parser.add_argument("--master", help="Spark master, where spark-submit does not name one")
@@ -178,29 +187,46 @@ def main(arguments: Sequence[str] | None = None) -> None:
         "frame-reports": ["table", "output"],
         "store": ["messages", "table", "checkpoint"],
         "detect": ["messages", "output", "checkpoint", "detector"],
+        "trend": ["messages", "table", "trend", "checkpoint"],
     }
+    extras = {
+        "rating-reports": {"least": int, "mode": str},
+        "rating-tables": {"least": int, "mode": str},
+        "review-reports": {"more-than": int, "k": int},
+        "sales-reports": {"year": int, "relative-error": float},
+        "frame-reports": {"form": str},
+        "store": {"rejects": str, "once": bool},
+        "detect": {"repeats-within": str, "once": bool},
+        "trend": {"k": int, "once": bool},
+    }  # options that may be left out: the functions' own defaults hold then
     for job, names in needs.items():
         options = jobs.add_parser(job)
         for name in names:
             options.add_argument(f"--{name}", required=True, nargs="+" if name == "ratings" else None)
+        for name, kind in extras[job].items():
+            how = {"action": "store_true"} if kind is bool else {"type": kind}
+            options.add_argument(f"--{name}", default=argparse.SUPPRESS, **how)
     given = parser.parse_args(arguments)
+    more = {name: value for name in (key.replace("-", "_") for key in extras[given.job]) if (value := getattr(given, name, None)) is not None}
     spark = build_session(f"tallyframe {given.job}", given.master)
     if given.job == "rating-reports":
-        rating_reports(spark, given.movies, given.ratings, given.users, given.output)
+        rating_reports(spark, given.movies, given.ratings, given.users, given.output, **more)
     elif given.job == "rating-tables":
-        rating_tables(spark, given.movies, given.ratings, given.users, given.occupations, given.output)
+        rating_tables(spark, given.movies, given.ratings, given.users, given.occupations, given.output, **more)
     elif given.job == "review-reports":
-        review_reports(spark, given.reviews, given.stopwords, given.output)
+        review_reports(spark, given.reviews, given.stopwords, given.output, **more)
     elif given.job == "sales-reports":
-        sales_reports(spark, given.folder, given.output)
+        sales_reports(spark, given.folder, given.output, **more)
     elif given.job == "frame-reports":
-        frame_reports(spark, given.table, given.output)
+        frame_reports(spark, given.table, given.output, **more)
     elif given.job == "store":
-        storage_job(spark, given.messages, given.table, given.checkpoint).awaitTermination()
+        storage_job(spark, given.messages, given.table, given.checkpoint, **more).awaitTermination()
+    elif given.job == "trend":
+        trend_job(spark, given.messages, given.table, given.trend, given.checkpoint, **more).awaitTermination()
     else:
         module, loader = given.detector.split(":")
         load_detector = getattr(importlib.import_module(module), loader)
-        detector_job(spark, given.messages, given.output, given.checkpoint, load_detector).awaitTermination()
+        detector_job(spark, given.messages, given.output, given.checkpoint, load_detector, **more).awaitTermination()
 
 
 if __name__ == "__main__":

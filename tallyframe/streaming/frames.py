@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tallyframe.functions.times import timestamp_epoch
+from tallyframe.functions.times import epoch_to_timestamp, timestamp_epoch
 from tallyframe.sinks.files import as_json
 from tallyframe.sources.files import BOX_SCHEMA
 
@@ -51,6 +52,26 @@ def decode_headers(messages: DataFrame) -> DataFrame:
     )
 
 
+def without_repeats(frames: DataFrame, within: str = "10 minutes") -> DataFrame:
+    """Each frame once that a producer sends again: the same source and number, or without a number the same
+    source, time and payload.
+
+    On a stream a frame is remembered for ``within`` of capture time, so the state is bounded, and one
+    captured longer ago than that before the newest is late: it is left out and counted (``late_rows``).
+    """
+    unnamed = F.concat_ws(":", F.lit("?"), F.col("timestamp").cast("string"), F.sha1("value"))
+    keyed = frames.withColumn("_key", F.coalesce(F.col("frame_id").cast("string"), unnamed))
+    if not frames.isStreaming:
+        return keyed.dropDuplicates(["source", "_key"]).drop("_key")
+    timed = keyed.withColumn("_moment", epoch_to_timestamp(F.col("timestamp"))).withWatermark("_moment", within)
+    return timed.dropDuplicatesWithinWatermark(["source", "_key"]).drop("_key", "_moment")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came too late for their watermark, in the batches that the query remembers."""
+    return sum(state["numRowsDroppedByWatermark"] for batch in query.recentProgress for state in batch["stateOperators"])
+
+
 def detect(frames: DataFrame, load_detector: LoadDetector, partitions: int | None = None) -> DataFrame:
     """Run a detector over the frames and skip those it cannot decode.
 
@@ -101,6 +122,10 @@ def detection_records(found: DataFrame) -> DataFrame:
     )
 
 
-def detection_messages(messages: DataFrame, load_detector: LoadDetector) -> DataFrame:
-    """The whole job: messages -> headers -> detections -> JSON text, batch or stream."""
-    return as_json(detection_records(detect(decode_headers(messages), load_detector)))
+def detection_messages(messages: DataFrame, load_detector: LoadDetector, repeats_within: str | None = None) -> DataFrame:
+    """The whole job: messages -> headers -> detections -> JSON text, batch or stream; with ``repeats_within``
+    frames that are sent again within that time are detected once."""
+    frames = decode_headers(messages)
+    if repeats_within:
+        frames = without_repeats(frames, repeats_within)
+    return as_json(detection_records(detect(frames, load_detector)))

@@ -151,3 +151,21 @@ def test_strict_tables_stop_at_a_malformed_line_before_any_report(spark, tmp_pat
     with pytest.raises(Exception, match="malformed line"):
         jobs.rating_tables(spark, str(tmp_path / "movies.txt"), str(tmp_path / "r2.txt"), *places, str(tmp_path / "out"))
     assert not (tmp_path / "out").exists()
+
+
+def test_options_of_the_command_line(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "build_session", lambda name, master: spark)
+    (tmp_path / "in").mkdir()
+    lines = [json.dumps({"frame_id": i, "timestamp": 100.0 + i, "person_count": i}) for i in range(6)]
+    (tmp_path / "in" / "a.json").write_text("\n".join([*lines, "{broken"]))
+    places = {name: str(tmp_path / name) for name in ("in", "table", "rejects", "progress", "trend", "trend_progress", "trend_table")}
+    jobs.main(["store", "--messages", places["in"], "--table", places["table"], "--checkpoint", places["progress"], "--rejects", places["rejects"], "--once"])
+    assert spark.read.parquet(places["table"]).count() == 6 and spark.read.parquet(places["rejects"]).first()["reason"] == "no JSON"
+    given = ["--messages", places["in"], "--table", places["trend_table"], "--trend", places["trend"], "--checkpoint", places["trend_progress"]]
+    jobs.main(["trend", *given, "--k", "2", "--once"])
+    assert sorted(row["frame_id"] for row in jobs.live.read_trend(spark, places["trend"]).collect()) == [4, 5]
+    (tmp_path / "reviews.csv").write_text("1;tốt tốt giá;PRICES;HOTEL;positive\n")
+    (tmp_path / "stop.txt").write_text("giá\n")
+    given = ["--reviews", str(tmp_path / "reviews.csv"), "--stopwords", str(tmp_path / "stop.txt"), "--output", str(tmp_path / "out")]
+    jobs.main(["review-reports", *given, "--more-than", "1"])
+    assert text_of(tmp_path / "out" / "frequent_words") == ["tốt\t2"]

@@ -139,6 +139,31 @@ def test_detector_is_called_with_whole_batches(spark, rows, batch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def frame(number, second, payload=b"1", source=b"cam"):
+    named = [("frame_id", str(number).encode())] if number is not None else []
+    return (payload, [*named, ("timestamp", str(second).encode()), ("source", source)])
+
+
+def test_frames_sent_again_are_detected_once_and_late_ones_counted(spark, rows, tmp_path):
+    folder, out, progress = (str(tmp_path / name) for name in ("frames", "out", "progress"))
+
+    def run(*messages):
+        spark.createDataFrame(list(messages), frames.FRAME_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        stream = frames.detection_messages(frames.frame_files(spark, folder), counting_detector(), "100 seconds")
+        query = detections.append_stream(stream, out, progress, ONCE, "text")
+        query.awaitTermination()
+        numbers = sorted(row["frame_id"] for row in detections.parse_messages(spark.read.text(out)).collect())
+        return numbers, frames.late_rows(query)
+
+    first = [frame(1, 1000), frame(1, 1000), frame(1, 1000, source=b"other"), frame(None, 1001), frame(None, 1001), frame(None, 1001, b"2")]
+    assert run(*first) == ([-1, -1, 1, 1], 0)
+    assert run(frame(1, 1000), frame(2, 1090)) == ([-1, -1, 1, 1, 2], 0)
+    assert run(frame(3, 5000)) == ([-1, -1, 1, 1, 2, 3], 0)
+    assert run(frame(4, 1000), frame(5, 4950)) == ([-1, -1, 1, 1, 2, 3, 5], 1)
+    batch = frames.decode_headers(spark.createDataFrame(first, frames.FRAME_SCHEMA))
+    assert rows(frames.without_repeats(batch), "frame_id") == sorted([(1,), (1,), (None,), (None,)], key=repr)
+
+
 def test_detector_stream_equals_the_batch(spark, rows, tmp_path):
     messages(spark).write.parquet(str(tmp_path / "frames"))
     stream = frames.detection_messages(frames.frame_files(spark, str(tmp_path / "frames")), counting_detector())
