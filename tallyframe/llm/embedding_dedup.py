@@ -153,6 +153,7 @@ def count_links(members: DataFrame, threshold: float = THRESHOLD, chunk: int = 3
     paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     unit = (F.least("own", "other") * F.col("chunks") + F.greatest("own", "other")).alias("unit")
     dealt = paired.select("component", unit, "rep", "copies", "v", (F.col("own") > F.col("other")).alias("asks"))
+    dealt = dealt.repartition("component", "unit")  # the join left all units of a component in one partition
     counted = dealt.groupBy("component", "unit").applyInArrow(_counts(threshold), "rep long, links long")
     return counted.groupBy("rep").agg(F.sum("links").alias("links"))
 
