@@ -153,7 +153,7 @@ def test_quoted_csv_is_split_inside_records(spark, rows, tmp_path, block, count)
             found = files.read_quoted_csv(spark, path, LAYOUT)
             assert rows(found) == rows(plain) and found.count() == count
             blocks = quoted.quoted_lines(spark, path).select("file", "block").distinct().count()
-            assert blocks > (100 if block == "40b" else 0)
+            assert blocks > (50 if block == "40b" else 0)
         finally:
             for key, value in kept.items():
                 spark.conf.set(key, value)
