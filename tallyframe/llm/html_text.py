@@ -38,10 +38,13 @@ IMPLIED_ENDS["thead"] = IMPLIED_ENDS["tfoot"] = IMPLIED_ENDS["tbody"]
 ENDS_P = BLOCK - {"body", "html", "legend", "option", "optgroup"}
 P_STAYS = frozenset("button td th table caption body".split())
 
+# Each mark is read once from its start: a quote opens a value only behind an equals sign and only where it is
+# closed again, and a tag that the page never ends takes the rest of the page, as in a browser.
 TAG = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)""", re.DOTALL
+    r"""<!--.*?(?:--!?>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""",
+    re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 WANTED = ("hidden", "style", "type", "start", "value", "reversed", "colspan", "rowspan", "open")
 
@@ -99,6 +102,8 @@ def parse(html: str) -> Node:
         at = mark.end()
         if mark["name"] is None:
             continue
+        if not mark[0].endswith(">"):  # a tag without an end
+            break
         name = mark["name"].lower()
         if mark["end"]:
             if name == "br":
@@ -305,7 +310,7 @@ def _table(node: Node, seen: bool) -> Generator:
             shown = {"hidden": False, "visible": True}.get(_style(cell, "visibility"), visible)
             cells[column] = ((yield _lines(cell, shown)), wide)
             for at in range(column, column + wide):
-                held[at] = _number(cell, "rowspan", 1)
+                held[at] = _number(cell, "rowspan", 1, most=65534)  # the limits of HTML itself, as for columns
             column += wide
         held = {at: left - 1 for at, left in held.items() if left > 1}
         grid.append(cells)
@@ -345,7 +350,7 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     indented, table cells are padded to columns, preformatted text is kept. Heads, scripts, styles,
     templates, frames, closed details and elements hidden by attribute or inline style are left out;
     style sheets are not read. Null and empty pages give an empty text, text without tags comes back
-    with its white space collapsed, elements may be nested to any depth. Repeated rows stay; an empty table gives no rows; other columns are ignored.
+    with its white space collapsed, a tag that is never ended is not shown, elements may be nested to any depth. Repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
