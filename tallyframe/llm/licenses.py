@@ -75,9 +75,47 @@ OTHER = (
     "See the LICENSE file for license terms.",
     "Distributed under its own license agreement.",
     "This software is provided under a custom licence.",
+    "SPDX-License-Identifier: LicenseRef-Custom",
+    "SPDX-License-Identifier: NONE",
 )
+# Titles of licence texts, and the identifiers of the public SPDX list, by family.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License (MIT)"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License Version 2.0, January 2004", "http://www.apache.org/licenses/LICENSE-2.0"),
+    "GPL": ("GNU General Public License Version 3", "GNU General Public License Version 2, June 1991"),
+    "LGPL": ("GNU Lesser General Public License Version 3",),
+    "AGPL": ("GNU Affero General Public License Version 3",),
+    "BSD": ("BSD 3-Clause License", "BSD 2-Clause License"),
+    "MPL-2.0": ("Mozilla Public License Version 2.0",),
+    "ISC": ("ISC License",),
+    "EPL-2.0": ("Eclipse Public License v 2.0",),
+}
+IDENTIFIERS = {
+    "MIT": ("MIT",),
+    "Apache-2.0": ("Apache-2.0",),
+    "GPL": ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "LGPL": ("LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-or-later"),
+    "AGPL": ("AGPL-3.0-only", "AGPL-3.0-or-later"),
+    "BSD": ("BSD-2-Clause", "BSD-3-Clause"),
+    "MPL-2.0": ("MPL-2.0",),
+    "CC-BY": ("CC-BY-4.0",),
+    "CC-BY-SA": ("CC-BY-SA-4.0",),
+    "CC-BY-NC": ("CC-BY-NC-4.0",),
+    "CC0": ("CC0-1.0",),
+    "Unlicense": ("Unlicense",),
+    "ISC": ("ISC",),
+    "EPL-2.0": ("EPL-2.0",),
+}
+TEMPLATES = {
+    family: (*texts, *TITLES.get(family, ()), *(f"SPDX-License-Identifier: {name}" for name in IDENTIFIERS.get(family, ())))
+    for family, texts in TEMPLATES.items()
+}
 UNKNOWN, NONE = "unknown", "none"
-TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
+TOKEN = r"[a-z0-9]+(?:[.+][a-z0-9]+)*"
+# Marks of comments and quotes at the start of a line, which belong to no paragraph.
+MARKS = r"^[\x20\t\r]*+(?:(?://+!?|/\*+|\*+/?|#+|;+|--+|%+|<!--|\.\.(?=\x20)|>+|\x22{3}|'{3})[\x20\t\r]*+)*+"
+NUMBER = "\x01"  # set between the number of a line and its text
+SHORT, WHOLE = 7, 5  # a notice counts as at least SHORT words and pairs; of up to WHOLE, all must be met
 MOST_DOCUMENTS, MOST_LINES = 1000, 2000  # bounds of the sample of ordinary lines
 
 
@@ -172,18 +210,19 @@ COMMON = frozenset(
     "files software above included substantial portions extent possible under other related rights universal made available materials "
     "without purpose fee own custom example sample corporation accompanying its see conditions forms international version basis terms "
     "unless agreed applicable associated documentation shall notice granted charge hereby 1 2 3 4 2.0 1.0 4.0 2.1 2020 cc mit general public "
-    "mozilla modify copy copies distributed provided released included governed strictly provided domain".split()
+    "only later nc sa style clause 3.0 january june 1991 2004 none custom mozilla modify copy copies distributed provided released included governed strictly provided domain".split()
 )
 
 
 def sample_lines(docs: DataFrame, most_documents: int = MOST_DOCUMENTS, most_lines: int = MOST_LINES) -> list[str]:
     """At most ``most_lines`` ordinary lines of at most ``most_documents`` documents, those of the
-    smallest hashes; lines that name a licence are left out, and long ones give their first 400 characters
-    to the sample (only the sample: all lines are classified whole)."""
+    smallest hashes; lines that name a licence are left out, and long ones are cut into pieces of up to 400
+    characters, each of which can be drawn (only for the sample: all lines are classified whole)."""
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_documents)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     lines = own.select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 0").where(~F.col("line").rlike("(?i)licen[cs]|copyright|rights reserved|public domain"))
-    rows = lines.select(F.left("line", F.lit(400)).alias("line")).distinct().orderBy(F.xxhash64("line"), "line").limit(most_lines).collect()
+    pieces = F.explode(F.regexp_extract_all("line", F.lit("(?s).{1,400}"), F.lit(0)))
+    rows = lines.select(pieces.alias("line")).distinct().orderBy(F.xxhash64("line"), "line").limit(most_lines).collect()
     return [row["line"] for row in rows]
 
 
@@ -191,59 +230,86 @@ def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(value) for value in values])
 
 
+def _paragraphs(text: Column, guard: str) -> Column:
+    """Blocks of lines that are not blank, without marks of comments, if they hold a guard word. Every line is
+    led by its number and NUMBER, so the text can be cut without counting again."""
+    bare = F.transform(F.split(text, "\n"), lambda line: F.regexp_replace(line, MARKS, ""))
+    numbered = F.transform(bare, lambda line, at: F.when(line.rlike(r"\S"), F.concat((at + 1).cast("string"), F.lit(NUMBER), line)).otherwise(F.lit("")))
+    return F.filter(F.split(F.array_join(numbered, "\n"), "\n\n+"), lambda p: p.rlike(guard))
+
+
 def notices(docs: DataFrame, model: Classifier, alike: float = 0.5) -> DataFrame:
     """(doc_id, found): per row of ``docs`` an array of (line, family, score, alike, confirmed).
 
-    Every line of the whole text is a paragraph. Lines that hold a feature of the model are
-    scored; where the calibrated class is a family, the template of the family that shares the most of
-    its words and pairs of words with the line must share at least ``alike``, else the licence is unknown.
+    A paragraph is a block of lines that are not blank, marks of comments taken off. It is scored whole,
+    as a notice can be wrapped over lines, and so is each of its lines, as it can hold several notices; both only
+    where they hold a guard word. Where the calibrated class is a family, one template of the family must share at
+    least ``alike`` of the words and pairs of words of the shorter of the two, else the licence is unknown. A
+    paragraph adds its family, at its first line with a guard word, if no line of it is confirmed as that
+    family; its lines of unknown licences then go. A paragraph of an unknown licence is known by its lines only.
     Only columns of Spark, in one pass without a shuffle. Null and empty texts have no notice, a line
     of no licence has no entry, repeated rows stay, an empty table gives no rows; other columns are
     ignored.
     """
-    guard = r"(?i)(?<![a-z0-9.+-])(?:" + "|".join(re.escape(word) for word in model.guards) + r")(?![a-z0-9])"
+    guard = r"(?i)(?<![a-z0-9.+])(?:" + "|".join(re.escape(word) for word in model.guards) + r")(?![a-z0-9])"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    none = F.array().cast("array<struct<line:int,text:string>>")
-    numbered = F.transform(F.split("text", "\n"), lambda line, at: F.struct((at + 1).alias("line"), line.alias("text")))
-    lines = F.when(F.col("text").rlike(guard), F.filter(numbered, lambda s: s["text"].rlike(guard))).otherwise(none)
-    rows = whole.select("doc_id", lines.alias("lines"))
-    words = F.transform("lines", lambda s: F.struct(s["line"].alias("line"), F.regexp_extract_all(F.lower(s["text"]), F.lit(TOKEN), F.lit(0)).alias("words")))
-    rows = rows.select("doc_id", words.alias("lines"))
+    rows = whole.select("doc_id", F.when(F.col("text").rlike(guard), _paragraphs(F.col("text"), guard)).otherwise(F.array().cast("array<string>")).alias("paragraphs"))
+    words = lambda body: F.regexp_extract_all(F.lower(body), F.lit(TOKEN), F.lit(0))
+    number = lambda line: F.regexp_extract(line, "^\n*([0-9]+)" + NUMBER, 1).cast("int")
+    bare = lambda body: F.regexp_replace(body, r"(?m)^[0-9]+" + NUMBER, "")
+
+    def cut(p: Column) -> Column:
+        lines = F.filter(F.split(p, "\n"), lambda line: line.rlike(guard))
+        each = F.transform(lines, lambda line: F.struct(number(line).alias("line"), words(bare(line)).alias("words")))
+        block = F.struct(number(lines[0]).alias("line"), words(bare(p)).alias("words"))
+        return F.struct(F.when(p.rlike("\\S\n"), block).alias("whole"), each.alias("lines"))
+
+    rows = rows.select("doc_id", F.transform("paragraphs", cut).alias("parts"))
+
+    def step(rows: DataFrame, change) -> DataFrame:
+        """``change`` made to all paragraphs and lines, from struct to struct."""
+        both = lambda p: F.struct(F.when(p["whole"].isNotNull(), change(p["whole"])).alias("whole"), F.transform(p["lines"], change).alias("lines"))
+        return rows.select("doc_id", F.transform("parts", both).alias("parts"))
+
+    keep = lambda s, *names: [s[name].alias(name) for name in names]
     pairs = lambda w: F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
     templates = [(family, grams_of(tokens_of(body))) for family, texts in TEMPLATES.items() for body in texts]
     every = sorted({*model.features, *(gram for _, grams in templates for gram in grams)})
-    known = lambda s: F.array_intersect(F.concat(s["words"], F.filter(pairs(s["words"]), lambda g: g.isNotNull())), _strings(every))
-    rows = rows.select("doc_id", F.transform("lines", lambda s: F.struct(s["line"].alias("line"), known(s).alias("grams"))).alias("lines"))
+    rows = step(rows, lambda s: F.struct(*keep(s, "line"), F.array_distinct(F.concat(s["words"], F.filter(pairs(s["words"]), lambda g: g.isNotNull()))).alias("grams")))
+    rows = step(rows, lambda s: F.struct(*keep(s, "line"), F.size(s["grams"]).alias("size"), F.array_intersect(s["grams"], _strings(every)).alias("grams")))
 
     used = [(name, row) for name, row in zip(model.features, (model.weights / model.temperature).astype(float)) if np.abs(row).max() > 1e-6]
     table = F.map_from_arrays(_strings([name for name, _ in used]), F.array(*[F.array(*[F.lit(float(v)) for v in row]) for _, row in used]))
     bias = F.array(*[F.lit(float(v)) for v in model.bias / model.temperature])
     flat = F.array(*[F.lit(0.0) for _ in model.classes])
     add = lambda total, gram: F.zip_with(total, F.coalesce(F.try_element_at(table, gram), flat), lambda a, b: a + b)
-    scored = F.transform("lines", lambda s: F.struct(s["line"].alias("line"), s["grams"].alias("grams"), F.aggregate(s["grams"], bias, add).alias("logits")))
-    rows = rows.select("doc_id", scored.alias("lines"))
+    rows = step(rows, lambda s: F.struct(*keep(s, "line", "size", "grams"), F.aggregate(s["grams"], bias, add).alias("logits")))
     scaled = lambda s: F.transform(s["logits"], lambda v: F.exp(v - F.array_max(s["logits"])))
     place = lambda s: F.array_position(s["logits"], F.array_max(s["logits"])).cast("int")
     chance = lambda s: F.lit(1.0) / F.aggregate(scaled(s), F.lit(0.0), lambda a, b: a + b)
-    named = F.transform(
-        "lines", lambda s: F.struct(s["line"].alias("line"), s["grams"].alias("grams"), F.element_at(_strings(model.classes), place(s)).alias("class"), chance(s).alias("score"))
-    )
-    rows = rows.select("doc_id", F.filter(named, lambda s: s["class"] != NONE).alias("lines"))
+    rows = step(rows, lambda s: F.struct(*keep(s, "line", "size", "grams"), F.element_at(_strings(model.classes), place(s)).alias("class"), chance(s).alias("score")))
 
     def compared(s: Column) -> Column:
-        shares = [F.when(s["class"] == family, F.size(F.array_intersect(s["grams"], _strings(sorted(grams)))) / F.lit(float(len(grams)))).otherwise(0.0) for family, grams in templates]
-        return F.struct(s["line"].alias("line"), s["class"].alias("class"), s["score"].alias("score"), F.greatest(*shares).alias("alike"))
-
-    rows = rows.select("doc_id", F.transform("lines", compared).alias("lines"))
-    confirmed = lambda s: (s["class"] != UNKNOWN) & (s["score"] >= model.limit) & (s["alike"] >= alike)
-    final = F.transform(
-        "lines",
-        lambda s: F.struct(
-            s["line"].alias("line"), F.when(confirmed(s), s["class"]).otherwise(UNKNOWN).alias("family"), s["score"].alias("score"), s["alike"].alias("alike"), confirmed(s).alias("confirmed")
-        ),
-    )
-    return rows.select("doc_id", final.alias("found"))
+        shares = []
+        for family, grams in templates:
+            least = F.least(F.lit(len(grams)), F.greatest(s["size"], F.lit(SHORT)))
+            share = F.size(F.array_intersect(s["grams"], _strings(sorted(grams)))) / least
+            shares.append(F.when((s["class"] == family) & ((share >= 1) | (least > WHOLE)), share).otherwise(0.0))
+        return F.struct(*keep(s, "line", "class", "score"), F.least(F.lit(1.0), F.greatest(*shares)).alias("alike"))
+
+    rows = step(rows, compared)
+    confirmed = lambda s: (s["class"] != NONE) & (s["class"] != UNKNOWN) & (s["score"] >= model.limit) & (s["alike"] >= alike)
+    family = lambda s: F.when(confirmed(s), s["class"]).when(s["class"] != NONE, UNKNOWN).otherwise(NONE)
+    rows = step(rows, lambda s: F.struct(*keep(s, "line"), family(s).alias("family"), *keep(s, "score", "alike"), confirmed(s).alias("confirmed")))
+
+    def decided(p: Column) -> Column:
+        wraps = F.coalesce(p["whole"]["confirmed"], F.lit(False))
+        same = F.exists(p["lines"], lambda s: s["family"] == p["whole"]["family"])
+        lines = F.filter(p["lines"], lambda s: s["confirmed"] | ((s["family"] != NONE) & ~wraps))
+        return F.when(wraps & ~same, F.concat(F.array(p["whole"]), lines)).otherwise(lines)
+
+    return rows.select("doc_id", F.array_sort(F.flatten(F.transform("parts", decided))).alias("found"))
 
 
 def license_report(docs: DataFrame) -> DataFrame:
