@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import boosting, spans
@@ -19,20 +20,50 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Wider forms: written-out addresses, numbers without a country code or after 00, other groupings.
+# Wider forms: written-out addresses, numbers without a country code or after 00, other groupings, and cards at
+# the start or end of a longer run of digits, of which the base form takes the whole.
+_FOURS = r"[0-9]{4}(?:\x20[0-9]{4}\x20[0-9]{4}\x20[0-9]{4}|-[0-9]{4}-[0-9]{4}-[0-9]{4})"
 WIDE = {
     "email_words": _LOCAL + r"\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]++)++",
     "phone_local": r"(?<![0-9A-Za-z+(.-])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
     "phone_00": r"(?<![0-9A-Za-z+(.-])00[1-9][0-9]{0,2}[\x20().-]{1,2}[0-9][0-9\x20().-]{5,14}[0-9](?![0-9A-Za-z-])",
     "card_dots": r"(?<![0-9A-Za-z.])[0-9]{4}\.[0-9]{4}\.[0-9]{4}\.[0-9]{1,7}(?![0-9A-Za-z.])",
+    "phone_bare": r"(?<![0-9A-Za-z+(.-])[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9A-Za-z]|[.-][0-9])",
+    "card_part": r"(?<![0-9])" + _FOURS + r"(?![0-9])",
+    "card_tail": r"(?<![0-9])" + _FOURS + r"(?![\x20-]?[0-9])",
+    "ip_groups": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
 }
 KINDS = tuple(BASE)
 _PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?<=0))"
 IP_PARTS = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
-CUES = r"(?i)(?:phone|tel\b|call|mobile|fax|mail|contact|write|card|visa|account|payment|\bip\b|host|address|server)"
+# Words before a span that speak for its kind, and those that speak against any; the last of them counts.
+CUES = {
+    "email": "mail email contact write reach".split(),
+    "ip": "ip host address addr server node gateway dns".split(),
+    "card": "card visa mastercard amex credit debit account pay payment".split(),
+    "phone": "phone telephone tel call mobile cell fax contact reach ring text".split(),
+}
+AGAINST = "order ref reference invoice part sku item serial version release isbn issn tracking ticket id model batch date page row case code build lot".split()
+# Examples that teach the wider forms: numbers of each, and what stands around them.
+EXAMPLES = {
+    "email_words": ("jane (at) example (dot) org", "joe.doe [at] mail.example.com", "info(at)example.net"),
+    "phone_local": ("415-555-1234", "(212) 555-0198", "303.555.7788", "415 555 9999"),
+    "phone_00": ("0049 30 1234567", "0033 1 42 68 53 00", "0044-20-7946-0958"),
+    "phone_bare": ("4155551234", "2125550198", "6505557788"),
+    "card_dots": ("4111.1111.1111.1111", "5500.0000.0000.0004", "4012.8888.8888.1881"),
+    "card_part": ("4111 1111 1111 1111 12/27", "5500-0000-0000-0004-2027"),
+    "card_tail": ("2024 4111 1111 1111 1111", "12 4012 8888 8888 1881"),
+    "ip_groups": ("2001:db8:0:0:1:2:3:4", "fe80:0:0:0:202:b3ff:fe1e:8329"),
+}
+FOR_FRAMES = ("{} #", "{}: #", "my {} is # thanks", "the {} (#)", "{} # or ask, then", "new {} no. #, please")
+AGAINST_FRAMES = ("{} #", "{}: #", "see {} # there", "{} no. # of it", "{} (#)")
+PLAIN_FRAMES = ("#", "and # the", "of it. # Then", "were (#)", "here, # or so")
+PLAIN_TIMES = 20  # plain sentences are as common as all others
+PLAIN_CASES = frozenset(EXAMPLES) - {"phone_bare"}  # forms that need no cue; ten bare digits do
 CONTEXT = 32
 SCORE_BINS = 1000
-FEATURES = ("kind", "digits", "length", "breaks", "luhn", "ip", "before", "after", "cue", "variety", "zero")
+FEATURES = ("kind", "form", "length", "breaks", "before", "after", "near", "variety", "zero")
+FORMS = (*BASE, *WIDE)
 
 
 def luhn(digits: Column) -> Column:
@@ -53,6 +84,10 @@ def _guards(text: Column) -> dict[str, Column]:
         "phone_local": digits,
         "phone_00": F.contains(text, F.lit("00")),
         "card_dots": text.rlike(r"[0-9]{4}\.[0-9]{4}\."),
+        "phone_bare": text.rlike("[0-9]{10}"),
+        "card_part": text.rlike(r"[0-9]{4}[\x20-][0-9]{4}[\x20-]"),
+        "card_tail": text.rlike(r"[0-9]{4}[\x20-][0-9]{4}[\x20-]"),
+        "ip_groups": text.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]"),
     }
 
 
@@ -61,11 +96,19 @@ def _side(char: Column) -> Column:
     return F.when(char.rlike(r"^[\x20\x09-\x0D]?$"), 0).when(char.rlike("^[0-9]"), 2).when(char.rlike(r"^\p{L}"), 1).otherwise(3)
 
 
+def _near(left: Column, kind: str) -> Column:
+    """2 if the last cue before a span speaks for its kind, 1 if it speaks against, 0 without any."""
+    words = sorted({*CUES[kind], *AGAINST}, key=lambda word: (-len(word), word))
+    last = F.lower(F.regexp_extract(F.right(left, F.lit(CONTEXT)), rf"(?is)^.*(?<![a-z])({'|'.join(words)})(?![a-z])", 1))
+    return F.when(last == "", 0).when(last.isin(CUES[kind]), 2).otherwise(1)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id and ``found``: per document an array of (kind, start, end, form, base, checked, f).
+    """doc_id and ``found``: per document an array of (kind, start, end, form, base, checked, open, f).
 
-    ``form`` is the generator, ``base`` says that a base form passed its check, ``checked`` that the
-    form has such a check, ``f`` are the features. Nothing but columns of Spark: one pass per form
+    ``form`` is the generator, ``base`` says that a base form passed its check, ``checked`` that it is a base
+    form, ``open`` that a wider form is possible (digits of its kind, Luhn for cards) and can be added, ``f`` are the
+    features: format and context, and nothing that decides the check. Nothing but columns of Spark: one pass per form
     over the texts that can hold it.
     """
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -95,14 +138,12 @@ def _described(form: str) -> Column:
         left, right = F.element_at(between, place + 1), F.element_at(between, place + 2)
         values = [
             F.lit(KINDS.index(kind)),
-            F.least(count, F.lit(24)),
+            F.lit(FORMS.index(form)),
             F.least(F.length(match), F.lit(48)),
             F.least(F.length(F.regexp_replace(match, r"[^\x20().-]", "")), F.lit(12)),
-            passes_luhn.cast("int"),
-            passes_ip.cast("int"),
             _side(F.right(left, F.lit(1))),
             _side(F.left(right, F.lit(1))),
-            (F.right(left, F.lit(CONTEXT)).rlike(CUES) | F.left(right, F.lit(CONTEXT)).rlike(CUES)).cast("int"),
+            _near(left, kind),
             F.least(F.size(F.array_distinct(F.split(digits, ""))), F.lit(10)),
             F.startswith(digits, F.lit("0")).cast("int"),
         ]
@@ -113,27 +154,48 @@ def _described(form: str) -> Column:
             F.lit(form).alias("form"),
             (F.lit(form in BASE) & valid).alias("base"),
             F.lit(form in BASE).alias("checked"),
+            (F.lit(form in WIDE) & (valid if form != "ip_groups" else F.lit(True))).alias("open"),
             F.array(*[value.cast("int") for value in values]).alias("f"),
         )
 
     return F.transform(F.arrays_zip(found.alias("m"), at.alias("s")), describe)
 
 
+def taught(spark: SparkSession) -> DataFrame:
+    """(f, up, fold) of the wider forms in the examples: ``up`` is 1 in a sentence that speaks for personal data."""
+    rows = []
+    for form, numbers in EXAMPLES.items():
+        for number in numbers:
+            frames = [(frame.format(word), 1) for frame in FOR_FRAMES for word in CUES[form.partition("_")[0]]]
+            frames += [(frame.format(word), 0) for frame in AGAINST_FRAMES for word in AGAINST]
+            frames += [(frame, int(form in PLAIN_CASES)) for frame in PLAIN_FRAMES * PLAIN_TIMES]
+            rows += [(frame.replace("#", number), up) for frame, up in frames]
+    listed = json.dumps([{"doc_id": 2 * at + up, "text": text} for at, (text, up) in enumerate(rows)])
+    docs = spark.range(1).select(F.explode(F.from_json(F.lit(listed), "array<struct<doc_id:long,text:string>>")).alias("d")).select("d.*")
+    each = candidates(docs).select("doc_id", F.explode("found").alias("c")).where("c.open")
+    return each.select(F.col("c.f").alias("f"), (F.col("doc_id") % 2).alias("up"), F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("fold"))
+
+
 def fit(found: DataFrame, most_vectors: int = 20_000, precision: float = 0.95) -> tuple[boosting.Boosted, dict[str, float]]:
     """The trees and a threshold per kind.
 
-    Base forms teach: those that passed their check are cases, those that failed it are not. All
-    candidates of the corpus are counted per feature vector. Half of the documents (by hash) fit the trees,
-    from at most ``most_vectors`` vectors, those of the smallest hash. All vectors of the other half are
-    scored by Spark and set each kind's threshold: the least score, in steps of 1 / SCORE_BINS, at which
-    the share of cases is ``precision``. Only sums per kind and step come to the driver.
+    Two teachers of equal weight: the base forms of the corpus, of which those that passed their check are
+    cases, and the examples of the wider forms, in sentences that speak for personal data or against it. The
+    checks are no features, so format and context have to tell. All base candidates are counted per
+    feature vector; of them at most ``most_vectors`` vectors, those of the smallest hash, fit the trees, and half
+    of the examples. The other half sets each kind's threshold, as only wider forms are added by it: the least
+    score, in steps of 1 / SCORE_BINS, at which the share of cases is ``precision``.
     """
-    each = found.select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("fold"), F.explode("found").alias("c")).where("c.checked")
-    counted = stored(each.groupBy("c.f", "fold").agg(F.sum(F.col("c.base").cast("long")).alias("up"), F.count(F.lit(1)).alias("all")), "vectors")
-    learn = counted.where("fold = 0").orderBy(F.xxhash64("f"), "f").limit(most_vectors).collect()
-    model = boosting.fit([r["f"] for r in learn], [r["up"] for r in learn], [r["all"] - r["up"] for r in learn]) if learn else boosting.Boosted(-9.0)
+    each = found.select(F.explode("found").alias("c")).where("c.checked")
+    counted = each.groupBy("c.f").agg(F.sum(F.col("c.base").cast("long")).alias("up"), F.count(F.lit(1)).alias("all"))
+    learn = counted.orderBy(F.xxhash64("f"), "f").limit(most_vectors).collect()
+    told = stored(taught(found.sparkSession).groupBy("f", "fold").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("all")), "taught")
+    examples = told.where("fold = 0").orderBy("f").collect()
+    even = sum(r["all"] for r in examples) / max(sum(r["all"] for r in learn), 1)
+    weighed = [(r["f"], even * r["up"], even * r["all"]) for r in learn] + [(r["f"], r["up"], r["all"]) for r in examples]
+    model = boosting.fit([f for f, _, _ in weighed], [up for _, up, _ in weighed], [every - up for _, up, every in weighed])
     step = F.floor(model.score(F.col("f")) * SCORE_BINS).cast("int").alias("step")
-    held = counted.where("fold = 1").select(F.col("f")[0].alias("place"), step, "up", "all")
+    held = told.where("fold = 1").select(F.col("f")[0].alias("place"), step, "up", "all")
     return model, _thresholds(held.groupBy("place", "step").agg(F.sum("up").alias("up"), F.sum("all").alias("all")).collect(), precision)
 
 
@@ -155,7 +217,7 @@ def _thresholds(rows: Sequence, precision: float) -> dict[str, float]:
 def personal_data(docs: DataFrame, most_vectors: int = 20_000, precision: float = 0.95) -> DataFrame:
     """doc_id and ``base`` and ``all``: arrays of (kind, start, end, score), sorted by kind and start.
 
-    All base forms that pass their check stay. Of the others, a candidate is added where its score
+    All base forms that pass their check stay. Of the wider forms, a possible one is added where its score
     reaches its kind's threshold, it touches no base span, and no better candidate overlaps it. One
     row per row of ``docs``; null and empty texts have none; an empty table gives no rows; other
     columns are ignored.
@@ -171,7 +233,7 @@ def personal_data(docs: DataFrame, most_vectors: int = 20_000, precision: float
 
     apart = lambda a, b: (a["end"] <= b["start"]) | (b["end"] <= a["start"])
     better = lambda a, b: (a["score"] > b["score"]) | ((a["score"] == b["score"]) & (F.struct(a["order"], a["start"], a["end"]) < F.struct(b["order"], b["start"], b["end"])))
-    rows = found.withColumn("found", F.transform("found", scored))
+    rows = found.withColumn("found", F.transform(F.filter("found", lambda c: c["base"] | c["open"]), scored))
     base = F.filter("found", lambda c: c["base"])
     rows = rows.select("doc_id", F.array_sort(base).alias("base"), F.filter("found", lambda c: ~c["base"] & (c["score"] >= limit[c["kind"]])).alias("more"))
     free = F.filter("more", lambda c: ~F.exists("base", lambda b: ~apart(b, c)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+BLOCK = 256
+
 
 def matches(text: Column, pattern: str, guard: Column) -> Column:
     """All leftmost non-overlapping matches; an empty array where ``guard`` says there can be none."""
@@ -17,18 +19,21 @@ def pieces(text: Column, pattern: str, guard: Column) -> Column:
 
 
 def starts(found: Column, between: Column) -> Column:
-    """Code point offset of each match, from the lengths of matches and of the text between them."""
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
-    steps = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("width")))
-    return F.aggregate(
-        steps,
-        first,
-        lambda acc, step: F.struct(
-            (acc["at"] + step["gap"] + step["width"]).alias("at"),
-            F.concat(acc["all"], F.array(acc["at"] + step["gap"])).alias("all"),
-        ),
-        lambda acc: acc["all"],
-    )
+    """Code point offset of each match, from the lengths of matches and of the text between them.
+
+    The lengths are added up in blocks and over blocks, as an array grows by copying all of it."""
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    grown = lambda acc, gap, width: F.struct((acc["at"] + gap + width).alias("at"), F.concat(acc["all"], F.array(acc["at"] + gap)).alias("all"))
+    blocks = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def block(k: Column) -> Column:
+        first, length = k * BLOCK + 1, F.least(F.lit(BLOCK), F.size(found) - k * BLOCK)
+        widths = F.zip_with(F.slice(found, first, length), F.slice(between, first, length), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("width")))
+        return F.aggregate(widths, none, lambda acc, w: grown(acc, w["gap"], w["width"]))
+
+    parts = F.transform(blocks, block)
+    bases = F.aggregate(parts, none, lambda acc, part: grown(acc, F.lit(0), part["at"]), lambda acc: acc["all"])
+    return F.flatten(F.zip_with(parts, bases, lambda part, base: F.transform(part["all"], lambda at: at + base)))
 
 
 def joined(spans: Column) -> Column:
