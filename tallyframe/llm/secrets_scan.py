@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,10 @@ KEYWORDS = ("passw", "secret", "token", "api")
 # Inferred encodings: name, alphabet size. A token gets the first whose characters hold it.
 ENCODINGS = (("hex", 16), ("base36", 36), ("base64", 64), ("letters", 26))
 DRAWS, LONGEST = 2000, 256  # tokens drawn per null distribution; longer tokens use that of LONGEST
+# Ordinary writing is surprised by a token of p-value p by -STEPS * log2(p), rounded down and at most MOST_SURPRISE.
+STEPS, MOST_SURPRISE = 4, 400
+NEVER = 1  # a token with at most so many random ones beyond it is never taken for random
+EXACT = 40  # so many drawn ordinary tokens below a score, and its share is counted; with fewer the fitted tail holds
 LETTERS = np.array([8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.2, 0.8, 4.0, 2.4, 6.7, 7.5, 1.9, 0.1, 6.0, 6.3, 9.1, 2.8, 1.0, 2.4, 0.2, 2.0, 0.1])  # a to z, percent in English
 _SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"
 _CODE = np.zeros(128, np.int64)
@@ -51,7 +58,7 @@ def encoding(token: str) -> int:
 
 
 def battery(tokens: list[str], encodings: list[int], as_words: bool = False) -> np.ndarray:
-    """Per token the greatest of four normal scores; near 0 to 2 for random symbols, greater for others.
+    """Per token the root mean square of four normal scores; about 1 for random symbols, greater for others.
 
     Chi-squared uniformity over the alphabet (by the cube-root approximation, only too uneven counts
     count), the number of runs above and below the middle of the alphabet, that of runs of one sort of
@@ -84,12 +91,12 @@ def battery(tokens: list[str], encodings: list[int], as_words: bool = False) ->
     turns = np.add.reduceat(np.r_[0, sort[1:] != sort[:-1]] * inner, first)
     often = CHANGES[np.asarray(encodings)]
     sorts = ((n - 1) * often - turns) / np.sqrt(np.maximum(n - 1, 1) * often * (1 - often))
-    runs = np.maximum(runs, np.where(size == 26, np.abs(sorts), sorts))
+    sorts = np.where(size == 26, np.abs(sorts), np.maximum(sorts, 0))
     centre = code - (np.add.reduceat(code, first) / n)[owner]
     together = np.add.reduceat(np.r_[0.0, centre[1:] * centre[:-1]] * inner, first)
     square = np.add.reduceat(centre**2, first)
     serial = np.where(square > 0, np.abs(together / np.maximum(square, 1e-9) + 1 / n) * np.sqrt(n), np.sqrt(n))
-    return np.maximum(uneven, np.maximum(runs, serial))
+    return np.sqrt((np.maximum(uneven, 0) ** 2 + runs**2 + sorts**2 + serial**2) / 4)
 
 
 def _ordinary(kind: int, n: int, rng: np.random.Generator) -> list[str]:
@@ -125,15 +132,32 @@ def nulls(kind: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(battery(drawn, [kind] * DRAWS)), np.sort(battery(_ordinary(kind, n, rng), [kind] * DRAWS))
 
 
+@cache
+def _tail(kind: int, n: int) -> tuple[float, float]:
+    """Middle and width of a normal lower tail that lies above the drawn ordinary scores at three small shares."""
+    _, ordinary = nulls(kind, n)
+    middle = float(np.median(ordinary))
+    shares = {0.05: 1.6449, 0.02: 2.0537, 0.01: 2.3263}  # normal quantiles
+    return middle, max(max((middle - float(np.quantile(ordinary, share))) / z for share, z in shares.items()), 1e-3)
+
+
+def _surprise(score: float, kind: int, n: int) -> int:
+    _, ordinary = nulls(kind, n)
+    below = int(np.searchsorted(ordinary, score + 1e-9))
+    middle, width = _tail(kind, n)
+    p = (1 + below) / (1 + DRAWS) if below >= EXACT else min(math.erfc((middle - score) / width / math.sqrt(2)) / 2, (1 + EXACT) / (1 + DRAWS))
+    return int(min(-STEPS * math.log2(max(p, 1e-300)), MOST_SURPRISE))
+
+
 def ranks(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Per token the numbers of drawn random tokens of its encoding and length that score at least as
-    high, and of ordinary ones that score at least as low. One more over DRAWS + 1 is the p-value."""
+    """Per token the number of drawn random tokens of its encoding and length that score at least as
+    high (one more over DRAWS + 1 is the p-value of being random), and the surprise of ordinary writing."""
     kinds = [encoding(token) for token in tokens]
     rarer, usual = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
     for at, (token, kind, score) in enumerate(zip(tokens, kinds, battery(tokens, kinds))):
-        random, ordinary = nulls(kind, min(len(token.rstrip("=")), LONGEST))
-        rarer[at] = DRAWS - np.searchsorted(random, score - 1e-9)
-        usual[at] = np.searchsorted(ordinary, score + 1e-9)
+        n = min(len(token.rstrip("=")), LONGEST)
+        rarer[at] = DRAWS - np.searchsorted(nulls(kind, n)[0], score - 1e-9)
+        usual[at] = _surprise(float(score), kind, n)
     return rarer, usual
 
 
@@ -154,9 +178,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, text in enumerate(batch.column(1).to_pylist()):
             found = base_spans(text) if text else []
             base.append(found)
-            taken = [(start, end) for start, end, _ in found]
+            begun, ended = [start for start, _, _ in found], [0, *accumulate((end for _, end, _ in found), max)]
             for m in TOKEN.finditer(text or ""):
-                if not any(start < m.end() and m.start() < end for start, end in taken):
+                if ended[bisect_left(begun, m.end())] <= m.start():  # no base span reaches into it
                     place.append((row, m.start(), m.end()))
                     wide.append(m[0])
         more: list[list[dict]] = [[] for _ in base]
@@ -192,22 +216,37 @@ def rejected(met: dict[int, int], rate: float = 0.01) -> int:
     return limit
 
 
+def discovered(met: dict[int, int], rate: float = 0.01) -> int:
+    """The least surprise at which a token counts as no ordinary writing, above MOST_SURPRISE if none: the procedure
+    of Benjamini and Hochberg over the tokens ``met`` per surprise, so that at most ``rate`` of the tokens found are
+    ordinary ones, however many the corpus holds."""
+    every, seen, limit = sum(met.values()), 0, MOST_SURPRISE + 1
+    for surprise in sorted(met, reverse=True):
+        seen += met[surprise]
+        if 2 ** (-surprise / STEPS) <= rate * seen / every:
+            limit = surprise
+    return limit
+
+
 def find_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     """doc_id, ``base`` and ``all`` (arrays of start, order, end; order numbers KINDS) and base_sha256.
 
     Base forms stay. Every other token of 16 or more letters, digits and base64 signs goes through the
     battery, and its p-values come from the battery's own distribution over random and over ordinary
-    tokens of its encoding and length, whatever the corpus holds. It is added, as kind random, where
-    randomness is not rejected and ordinary writing is, at ``rate``: 16 letters of one case can seldom be told
-    apart from words this way. Only counts per rank come to the driver (DRAWS + 1 at most). One row per
+    tokens of its encoding and length. It is added, as kind random, where ordinary writing is rejected under
+    false-discovery control over all tokens of the corpus (the rarer secrets are among them, the more a token
+    has to differ, so short ones are lost first), and where randomness is not rejected among those. Only counts
+    per rank and per surprise come to the driver (DRAWS + 1 and MOST_SURPRISE + 1 at most). One row per
     row of ``docs``; null and empty texts have no span; offsets are code points; an empty table gives
     no rows; other columns are ignored.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(narrow.mapInArrow(_scan, LAYOUT), "secrets")
-    wide = found.select(F.explode("wide").alias("c")).groupBy("c.rarer").agg(F.count(F.lit(1)).alias("n")).collect()
-    limit, usual = rejected({r["rarer"]: r["n"] for r in wide}, rate), rate * (1 + DRAWS) - 1
-    random = F.filter("wide", lambda c: (c["rarer"] > limit) & (c["usual"] <= usual))
+    each = found.select(F.explode("wide").alias("c")).select("c.*")
+    counted = lambda rows, name: {r[name]: r["n"] for r in rows.groupBy(name).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least = discovered(counted(each, "usual"), rate)
+    limit = max(rejected(counted(each.where(F.col("usual") >= least), "rarer"), rate), NEVER)
+    random = F.filter("wide", lambda c: (c["rarer"] > limit) & (c["usual"] >= least))
     shaped = F.transform(random, lambda c: F.struct(c["start"].alias("start"), F.lit(KINDS.index("random")).alias("order"), c["end"].alias("end")))
     return found.select("doc_id", "base", F.array_sort(F.concat("base", shaped)).alias("all"), "base_sha256")
 
