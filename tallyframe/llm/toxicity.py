@@ -10,14 +10,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"\w+")
 WINDOW, STRIDE = 48, 24
 SIZE, HIDDEN = 12, 8
 GRAMS = 4096  # rows of the table of character trigrams
-MOST_DOCUMENTS, MOST_WINDOWS = 3000, 32  # bounds of the sample that the network is fitted on
+MOST_DOCUMENTS, MOST_CHARACTERS = 3000, 50_000_000  # bounds of the sample that the network is fitted on, in whole documents
+CLEAN_WINDOWS = 3  # of a clean document, learnt from per epoch
 KNOWN_WORDS = 300_000
 BATCH = 512
 
@@ -170,8 +171,10 @@ def _start(vocabulary: dict[str, int], odds: np.ndarray, seed: int, base: float)
 
 def fit_network(texts: Sequence[Sequence[Sequence[str]]], toxic: Sequence[int], epochs: int = 8, seed: int = 7) -> Network:
     """Train on documents given as windows of words. The loss of a document is that of its most toxic
-    window; Adam, on batches of documents. Words that meet toxic documents much more or less often
-    than chance start from their log-odds. Without documents of both kinds the score is the base rate."""
+    window, of a clean one that of its CLEAN_WINDOWS most toxic ones; Adam, on batches of documents. Words that meet toxic documents much more or less often
+    than chance start from their log-odds. A word of a clean window that toxic documents do not prefer is
+    clean in any number, so some of them are shown repeated, too. Without documents of both kinds the
+    score is the base rate."""
     rng = np.random.default_rng(seed)
     marks = np.array(toxic, np.float32)
     base = float(np.log((marks.sum() + 0.5) / (len(marks) - marks.sum() + 0.5)))
@@ -198,6 +201,7 @@ def fit_network(texts: Sequence[Sequence[Sequence[str]]], toxic: Sequence[int],
     every = {word: at for at, word in enumerate(sorted(met))}
     flat_grams, offsets = trigrams(list(every))
     own_row = np.array([net.vocabulary.get(word, 0) for word in every])
+    calm = np.array([met_toxic[word] <= met[word] * rate for word in every])
     index = [(doc, np.array([every[word] for word in window])) for doc in usable for window in texts[doc]]
     owner = np.array([doc for doc, _ in index])
     length = np.array([len(ids) for _, ids in index])
@@ -209,11 +213,19 @@ def fit_network(texts: Sequence[Sequence[Sequence[str]]], toxic: Sequence[int],
     for _ in range(epochs):
         gates = net.project(net.combine(own_row, flat_grams, offsets)).astype(np.float32)
         logits = _score_windows(net, gates, table, length)
-        best = np.array([lo + int(np.argmax(logits[lo:hi])) for lo, hi in zip(first, np.r_[first[1:], len(owner)])])
+        shown = [1 if marks[owner[lo]] else CLEAN_WINDOWS for lo in first]
+        spans = zip(first, np.r_[first[1:], len(owner)], shown)
+        best = np.concatenate([lo + np.argsort(-logits[lo:hi], kind="stable")[:most] for lo, hi, most in spans])
         for some in np.array_split(rng.permutation(best), max(1, len(best) // 64)):
             step += 1
-            ids = table[some][:, : length[some].max()]
+            clean = rng.permutation(some[marks[owner[some]] == 0])[: 1 + len(some) // 8]
+            word = table[clean, rng.integers(length[clean])]
+            word = word[calm[word]]
+            again = np.where(np.arange(WINDOW) < rng.integers(1, WINDOW + 1, len(word))[:, None], word[:, None], -1)
+            ids = np.concatenate([table[some], again])
+            ids = ids[:, : (ids >= 0).sum(axis=1).max()]
             mask = ids >= 0
+            wanted = np.concatenate([marks[owner[some]], np.zeros(len(word), np.float32)])
             chosen, inverse = np.unique(ids[mask], return_inverse=True)
             places, whose, sizes = _segments(offsets, chosen)
             rows = flat_grams[places]
@@ -222,7 +234,7 @@ def fit_network(texts: Sequence[Sequence[Sequence[str]]], toxic: Sequence[int],
             gate = np.zeros((*ids.shape, 2, 3 * HIDDEN), np.float32)
             gate[mask] = per_word[inverse]
             logit, state = net.forward(gate, mask, keep=True)
-            slope = ((_sigmoid(logit) - marks[owner[some]]) / len(some)).astype(np.float32)
+            slope = ((_sigmoid(logit) - wanted) / len(ids)).astype(np.float32)
             grads, d_gate = net.backward(slope, state, mask)
             d_word = _sum_rows(d_gate[mask], inverse, len(chosen))
             grads["bias"] = d_word.sum(axis=0)
@@ -324,21 +336,21 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         out = []
         for text in batch.column(2).to_pylist():
             words = words_of(text)
-            starts = window_starts(len(words))
-            if len(starts) > MOST_WINDOWS:
-                starts = [starts[at * len(starts) // MOST_WINDOWS] for at in range(MOST_WINDOWS)]
-            out.append([" ".join(words[at : at + WINDOW]) for at in starts])
+            out.append([" ".join(words[at : at + WINDOW]) for at in window_starts(len(words))])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.string()))], ["doc_id", "toxic", "windows"])
 
 
-def train(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMENTS) -> Network:
-    """The network, fitted on at most ``most_documents`` labelled documents that are not held out,
-    those of the smallest hash of their id, and at most MOST_WINDOWS evenly spaced windows of each."""
+def train(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMENTS, most_characters: int = MOST_CHARACTERS) -> Network:
+    """The network, fitted on at most ``most_documents`` labelled documents that are not held out, those of
+    the smallest hash of their id, as far as their texts have ``most_characters`` together; all windows of each."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marked = marked.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    present = marked.join(own.select("doc_id").distinct(), "doc_id", "left_semi").where(~held_out(F.col("doc_id")))
-    chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_documents)
+    sizes = own.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("size"))
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    first = marked.join(sizes, "doc_id").orderBy(*by_hash).limit(most_documents)
+    upto = first.withColumn("upto", F.sum("size").over(Window.orderBy(*by_hash)))  # over most_documents rows
+    chosen = upto.where(F.col("upto") <= most_characters).select("doc_id", "toxic")
     one = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
     rows = one.mapInArrow(_training_windows, "doc_id long, toxic int, windows array<string>").collect()
     rows.sort(key=lambda row: (row["doc_id"], row["windows"]))

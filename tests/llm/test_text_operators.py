@@ -323,12 +323,11 @@ def test_toxicity_learns_on_held_out_texts():
     assert at_the_end[0] >= 0.5 and at_the_end[1] == at_the_end[2]
 
 
-@pytest.mark.xfail(reason="known fault: one clean word over and over scored 0.502", strict=False)
 def test_one_clean_word_repeated_is_clean():
     texts, marks = _toy()
     cut = lambda text: [text.split()[at : at + 48] for at in toxicity.window_starts(len(text.split()))]
     net = toxicity.fit_network([cut(t) for t in texts[:300]], marks[:300], epochs=8)
-    assert toxicity.Scorer(net).score(["w1 " * 5000])[0] < 0.5
+    assert toxicity.Scorer(net).score([f"{word} " * times for word in ("w1", "w2", "w7", "other") for times in (1, 30, 5000)]).max() < 0.5
 
 
 def test_gradients_of_the_network():
