@@ -202,12 +202,11 @@ def fit_network(texts: Sequence[Sequence[Sequence[str]]], toxic: Sequence[int],
     flat_grams, offsets = trigrams(list(every))
     own_row = np.array([net.vocabulary.get(word, 0) for word in every])
     calm = np.array([met_toxic[word] <= met[word] * rate for word in every])
-    index = [(doc, np.array([every[word] for word in window])) for doc in usable for window in texts[doc]]
-    owner = np.array([doc for doc, _ in index])
-    length = np.array([len(ids) for _, ids in index])
-    table = np.full((len(index), WINDOW), -1)
-    for at, (_, ids) in enumerate(index):
-        table[at, : len(ids)] = ids
+    owner = np.array([doc for doc in usable for _ in texts[doc]])
+    length = np.array([len(window) for doc in usable for window in texts[doc]])
+    table = np.full((len(owner), WINDOW), -1, np.int32)
+    for at, window in enumerate(window for doc in usable for window in texts[doc]):
+        table[at, : len(window)] = [every[word] for word in window]
     moment, spread, step = {}, {}, 0
     first = np.searchsorted(owner, usable)
     for _ in range(epochs):
@@ -331,13 +330,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _training_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for text in batch.column(2).to_pylist():
-            words = words_of(text)
-            out.append([" ".join(words[at : at + WINDOW]) for at in window_starts(len(words))])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.string()))], ["doc_id", "toxic", "windows"])
+        words = [" ".join(words_of(text)) for text in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.string())], ["doc_id", "toxic", "words"])
+
+
+def _windows(words: str, known: dict[str, str]) -> list[list[str]]:
+    """All windows of words parted by blanks; equal words are one object, kept in ``known``."""
+    shared = [known.setdefault(word, word) for word in words.split()]
+    return [shared[at : at + WINDOW] for at in window_starts(len(shared))]
 
 
 def train(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMENTS, most_characters: int = MOST_CHARACTERS) -> Network:
@@ -352,9 +354,10 @@ def train(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMEN
     upto = first.withColumn("upto", F.sum("size").over(Window.orderBy(*by_hash)))  # over most_documents rows
     chosen = upto.where(F.col("upto") <= most_characters).select("doc_id", "toxic")
     one = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
-    rows = one.mapInArrow(_training_windows, "doc_id long, toxic int, windows array<string>").collect()
-    rows.sort(key=lambda row: (row["doc_id"], row["windows"]))
-    return fit_network([[window.split(" ") for window in row["windows"]] for row in rows], [int(row["toxic"] == 1) for row in rows])
+    rows = one.mapInArrow(_training_words, "doc_id long, toxic int, words string").collect()
+    rows.sort(key=lambda row: (row["doc_id"], row["words"]))
+    known: dict[str, str] = {}
+    return fit_network([_windows(row["words"], known) for row in rows], [int(row["toxic"] == 1) for row in rows])
 
 
 def score_documents(docs: DataFrame, net: Network) -> DataFrame:
