@@ -62,23 +62,35 @@ def rating_tables(
     least: int = 50,
     mode: str = "fail",
 ) -> None:
-    """Reports of known movies only, one row per movie and group, with occupations and years."""
-    movie_rows = _parsed(spark, movies, delimited.MOVIES, mode)
-    rating_rows = _parsed(spark, rated, delimited.RATINGS, mode)
-    user_rows = _parsed(spark, users, delimited.USERS, mode)
-    occupation_rows = _parsed(spark, occupations, delimited.OCCUPATIONS, mode)
-    write_lines(ratings.movie_average(movie_rows, rating_rows), f"{output}/movies", ratings.movie_bar_line())
-    best = ratings.best_movie_report(ratings.best_movie_known(movie_rows, rating_rows, least), least)
+    """Reports of known movies only, one row per movie and group, with occupations and years.
+
+    With ``mode="fail"`` a report stops at a line that lacks a field which this report reads; a bad
+    zip code stops none, a bad time stops the years only.
+    """
+    parse = "late" if mode == "fail" else mode
+    movie_rows = _parsed(spark, movies, delimited.MOVIES, parse)
+    rating_rows = _parsed(spark, rated, delimited.RATINGS, parse)
+    user_rows = _parsed(spark, users, delimited.USERS, parse)
+    occupation_rows = _parsed(spark, occupations, delimited.OCCUPATIONS, parse)
+
+    def read(rows: DataFrame, *names: str) -> DataFrame:
+        return delimited.demand(rows, *names) if mode == "fail" else rows.select(*names)
+
+    titles, scores = read(movie_rows, "movie_id", "title"), read(rating_rows, "movie_id", "rating")
+    given = read(rating_rows, "user_id", "movie_id", "rating")
+    write_lines(ratings.movie_average(titles, scores), f"{output}/movies", ratings.movie_bar_line())
+    best = ratings.best_movie_report(ratings.best_movie_known(titles, scores, least), least)
     write_lines(best.orderBy("line_no").coalesce(1), f"{output}/best_movie", F.col("value"))
-    genres = ratings.genre_average(movie_rows, rating_rows, trimmed=False)
+    genres = ratings.genre_average(read(movie_rows, "movie_id", "genres"), scores, trimmed=False)
     write_lines(genres, f"{output}/genres", ratings.bar_line(F.col("genre")))
-    genders = ratings.gender_average(movie_rows, rating_rows, user_rows)
+    genders = ratings.gender_average(titles, given, read(user_rows, "user_id", "gender"))
     write_lines(genders, f"{output}/genders", ratings.gender_bar_line())
-    ages = ratings.age_code_average(movie_rows, rating_rows, user_rows)
+    ages = ratings.age_code_average(titles, given, read(user_rows, "user_id", "age"))
     write_lines(ages, f"{output}/ages", ratings.age_bar_line())
-    named = ratings.occupation_average(rating_rows, user_rows, occupation_rows)
+    worked, names = read(user_rows, "user_id", "occupation"), read(occupation_rows, "occupation", "occupation_name")
+    named = ratings.occupation_average(read(rating_rows, "user_id", "rating"), worked, names)
     write_lines(named, f"{output}/occupations", ratings.bar_line(F.col("occupation_name")))
-    write_lines(ratings.year_average(rating_rows), f"{output}/years", ratings.bar_line(F.col("year")))
+    write_lines(ratings.year_average(read(rating_rows, "rating", "ts")), f"{output}/years", ratings.bar_line(F.col("year")))
 
 
 def review_reports(spark: SparkSession, reviewed: str, stopwords: str, output: str, more_than: int = 500, k: int = 5) -> None:
@@ -144,7 +156,7 @@ def frame_reports(spark: SparkSession, table: str, output: str, form: str = "par
     overwrite_csv(frames.rolling_average(rows), f"{output}/rolling_averages")
     overwrite_csv(frames.detection_log(rows), f"{output}/detection_log")
     overwrite_csv(frames.distribution(rows), f"{output}/distribution")
-    write_lines(frames.report_lines(rows).select("value").coalesce(1), f"{output}/summary_report")
+    write_lines(frames.report_text(rows).select("value").coalesce(1), f"{output}/summary_report")
 
 
 def storage_job(

@@ -6,6 +6,8 @@ total_latency_seconds), with the timestamp in epoch seconds.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,18 @@ PEOPLE = "SỐ LƯỢNG NGƯỜI (PER FRAME)"
 SPEED = "HIỆU NĂNG XỬ LÝ"
 SPREAD = "PHÂN PHỐI SỐ NGƯỜI"
 
+# What frames the report.
+RULE = "=" * 60
+REPORT_TITLE = "  BÁO CÁO KẾT QUẢ - HỆ THỐNG ĐẾM NGƯỜI TỪ CAMERA"
+REPORT_MADE = "  Thời gian tạo báo cáo : "
+REPORT_FILES = (
+    "--- FILE KẾT QUẢ ---",
+    "  results/detection_log.csv       - Log chi tiết từng frame",
+    "  spark_outputs/summary_stats/    - Thống kê tổng hợp (Spark)",
+    "  spark_outputs/rolling_averages/ - Rolling average (Spark)",
+    "  spark_outputs/peak_frames/      - Các frame đông người (Spark)",
+)
+
 
 def summary(frames: DataFrame) -> DataFrame:
     return frames.agg(
@@ -150,6 +164,28 @@ def report_lines(frames: DataFrame) -> DataFrame:
     return union_all(headings, metrics).orderBy("place", "part")
 
 
+def report_text(frames: DataFrame, created: Column | None = None, files: Sequence[str] = REPORT_FILES) -> DataFrame:
+    """The whole report as ordered lines: banner, time of creation (now, if not given), a blank line before
+    each section, and the lines on the files. No frames give no lines.
+
+    The frame around the sections hangs on their first heading, so nothing is computed twice for it.
+    """
+    made = F.concat(F.lit(REPORT_MADE), F.date_format(F.current_timestamp() if created is None else created, "yyyy-MM-dd HH:mm:ss"))
+    above = [F.lit(RULE), F.lit(REPORT_TITLE), F.lit(RULE), made, F.lit("")]
+    below = [F.lit(text) for text in ("", *files, "", RULE)]
+
+    def line(place: Column, part: Column, value: Column) -> Column:
+        return F.struct(place.cast("long").alias("place"), part.cast("long").alias("part"), value.alias("value"))
+
+    place, part = F.col("place"), F.col("part")
+    own, last = line(place, part, F.col("value")), F.lit((1 << 63) - 1)
+    around = [line(F.lit(0), F.lit(at), text) for at, text in enumerate(above)]
+    around += [own, *[line(last, F.lit(at), text) for at, text in enumerate(below)]]
+    heading = F.array(line(place, F.lit(-1), F.lit("")), own)
+    every = F.when((place == 1) & (part == 0), F.array(*around)).when(part == 0, heading).otherwise(F.array(own))
+    return report_lines(frames).select(F.inline(every)).orderBy("place", "part")
+
+
 def live_metrics(frames: DataFrame) -> DataFrame:
     """Count, latency and time of the newest frame, and the number of frames."""
     newest = F.max_by(

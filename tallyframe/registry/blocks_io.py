@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.operators.rows import union_all
 from tallyframe.plans import frames, ratings, reviews, sales
 from tallyframe.registry.core import query
 from tallyframe.registry.flows import DISTRIBUTION_SQL, INGEST_SQL, LOG_SQL, REPORT_SQL, stored_detections
@@ -41,13 +42,18 @@ query(
 )
 _MALFORMED = """WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN concat(l_suppkey, ',', movie_id, ',,,')
                 WHEN l_linenumber = 2 AND l_returnflag = 'N' THEN concat_ws('::', l_suppkey, movie_id, 'good', ts) """
+_BAD_TIME = "WHEN l_linenumber = 1 THEN concat_ws('::', l_suppkey, movie_id, rating, 'soon') "
 
 
 def _both_modes(t: Tables) -> DataFrame:
-    """Lines with errors where those are dropped, and faultless lines where an error would stop the job."""
+    """Lines with errors where those are dropped, faultless lines where an error would stop the job, and
+    lines with bad times for a report that reads no times."""
     dropped = delimited.parse_lines(t.rating_lines(instead=_MALFORMED), delimited.RATINGS, "drop")
     strict = delimited.parse_lines(t.rating_lines(), delimited.RATINGS, "fail")
-    both = dropped.withColumn("mode", F.lit("drop")).unionByName(strict.withColumn("mode", F.lit("fail")))
+    late = delimited.parse_lines(t.rating_lines(instead=_BAD_TIME), delimited.RATINGS, "late")
+    read = delimited.demand(late, "movie_id", "rating")
+    parts = {"drop": dropped, "fail": strict, "late": read}
+    both = union_all(*[part.select("movie_id", "rating", F.lit(mode).alias("mode")) for mode, part in parts.items()])
     return both.groupBy("mode", "movie_id").agg(F.avg("rating").alias("avg"), F.count("rating").alias("n"))
 
 
@@ -56,7 +62,7 @@ query(
     _both_modes,
     """SELECT 'drop' AS mode, movie_id, avg(rating) AS avg, count(*) AS n FROM rating_rows
        WHERE NOT (l_linenumber = 1 AND l_returnflag = 'R') AND NOT (l_linenumber = 2 AND l_returnflag = 'N') GROUP BY 2
-       UNION ALL SELECT 'fail', movie_id, avg(rating), count(*) FROM rating_rows GROUP BY 2""",
+       UNION ALL SELECT unnest(['fail', 'late']), movie_id, avg(rating), count(*) FROM rating_rows GROUP BY 2""",
     "rating_rows",
 )
 
@@ -273,8 +279,16 @@ def _log_back(t: Tables) -> DataFrame:
 query("snk_7", _log_back, LOG_SQL, "frames")
 query(
     "snk_8",
-    lambda t: _lines_back(t, frames.report_lines(t.frames).select("value")),
+    lambda t: _lines_back(t, frames.report_text(t.frames, F.lit("2024-02-29 08:30:00").cast("timestamp")).select("value")),
     f"""WITH report AS ({REPORT_SQL}), shares AS ({DISTRIBUTION_SQL}) SELECT unnest([
+        repeat('=', 60), '  BÁO CÁO KẾT QUẢ - HỆ THỐNG ĐẾM NGƯỜI TỪ CAMERA', repeat('=', 60),
+        '  Thời gian tạo báo cáo : 2024-02-29 08:30:00', '', '', '', '', '',
+        '--- FILE KẾT QUẢ ---',
+        '  results/detection_log.csv       - Log chi tiết từng frame',
+        '  spark_outputs/summary_stats/    - Thống kê tổng hợp (Spark)',
+        '  spark_outputs/rolling_averages/ - Rolling average (Spark)',
+        '  spark_outputs/peak_frames/      - Các frame đông người (Spark)',
+        '', repeat('=', 60),
         '--- THỐNG KÊ TỔNG QUAN ---',
         '  Tổng số frame xử lý   : ' || format('{{:,}}', "Total_Frames"),
         '  Tổng lượt phát hiện   : ' || format('{{:,}}', "Total_Detections"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,13 +66,17 @@ def parse_lines(lines: DataFrame, layout: Layout, mode: str = "drop", line: str
 
     ``drop`` skips headers, blank lines and malformed lines, trims every field and ignores empty
     fields at the end of a line. ``fail`` trims the line only, takes the genres from the third
-    field, and stops the job at the first line with a missing field or a bad number.
+    field, and stops the job at the first line with a missing field or a bad number. ``late`` does
+    the same but leaves such a field NULL and keeps the line in ``_bad``: ``demand`` then stops the
+    job where a report reads that field.
     """
     if mode == "drop":
         return _lenient(lines, layout, F.col(line))
     if mode == "fail":
+        return demand(_strict(lines, layout, F.col(line)), *[name for name, _, _ in layout.columns])
+    if mode == "late":
         return _strict(lines, layout, F.col(line))
-    raise ValueError(f"mode must be 'drop' or 'fail', not {mode!r}")
+    raise ValueError(f"mode must be 'drop', 'fail' or 'late', not {mode!r}")
 
 
 def _lenient(lines: DataFrame, layout: Layout, line: Column) -> DataFrame:
@@ -95,16 +101,27 @@ def _lenient(lines: DataFrame, layout: Layout, line: Column) -> DataFrame:
 def _strict(lines: DataFrame, layout: Layout, line: Column) -> DataFrame:
     def field(fields: Column, place: int, kind: str) -> Column:
         found = F.get(fields, F.lit(place if place >= 0 else 2))
-        value = found if kind == "string" else F.trim(found).try_cast(kind)
-        shown = F.concat(F.lit("malformed line: "), F.array_join(fields, "|"))
-        return F.coalesce(value, F.raise_error(shown).cast(kind))
+        return found if kind == "string" else F.trim(found).try_cast(kind)
 
     def row(fields: Column) -> Column:
-        return F.struct(*[field(fields, place, kind).alias(name) for name, place, kind in layout.columns])
+        typed = [(field(fields, place, kind), name) for name, place, kind in layout.columns]
+        missing = reduce(or_, [value.isNull() for value, _ in typed])
+        bad = F.when(missing, F.array_join(fields, "|")).alias("_bad")
+        return F.struct(*[value.alias(name) for value, name in typed], bad)
 
     return _rows(lines, split_fields(line, trim_all(line)), row)
 
 
+def demand(rows: DataFrame, *names: str) -> DataFrame:
+    """Only the named columns of rows parsed ``late``; the job stops at a row where one of them is missing.
+
+    Each column asks for all of them, so that a join or a filter on one cannot pass a bad row by.
+    """
+    whole = reduce(and_, [F.col(name).isNotNull() for name in names])
+    stop = F.raise_error(F.concat(F.lit("malformed line: "), F.col("_bad")))
+    return rows.select(*[F.when(whole, F.col(name)).otherwise(stop.cast(rows.schema[name].dataType)).alias(name) for name in names])
+
+
 def read_delimited_auto(spark: SparkSession, paths: str | Sequence[str], layout: Layout, mode: str = "drop") -> DataFrame:
     """Read one file, a folder or several of them."""
     return parse_lines(spark.read.text(paths if isinstance(paths, str) else list(paths)), layout, mode)

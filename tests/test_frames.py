@@ -59,9 +59,20 @@ def test_report_lines(rows, given):
     assert lines[-1] == "  4 người :     2 frames ( 28.6%) " + "#" * 14 and len(lines) == 4 + 10 + 4
 
 
+def test_report_text(rows, given):
+    made = F.lit("2024-02-29 08:30:00").cast("timestamp")
+    lines = [value for (value,) in rows(frames.report_text(given, made, ("--- FILES ---", "  a")), "value", ordered=True)]
+    body = [value for (value,) in rows(frames.report_lines(given), "value", ordered=True)]
+    rule = "=" * 60
+    assert lines[:6] == [rule, frames.REPORT_TITLE, rule, "  Thời gian tạo báo cáo : 2024-02-29 08:30:00", "", body[0]]
+    assert lines[-6:] == [body[-1], "", "--- FILES ---", "  a", "", rule]
+    assert [line for line in lines[5:-5] if line] == body
+    assert [lines[at - 1] for at, line in enumerate(lines) if line.startswith("---")] == [""] * 5
+
+
 def test_report_of_no_frames(rows, spark):
     empty = spark.createDataFrame([], SCHEMA)
-    assert rows(frames.report_lines(empty)) == []
+    assert rows(frames.report_lines(empty)) == [] and rows(frames.report_text(empty)) == []
     assert rows(frames.summary(empty)) == [(0, None, None, None, None)]
 
 

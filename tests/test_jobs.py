@@ -120,7 +120,8 @@ def test_frame_jobs(spark, tmp_path):
     jobs.frame_reports(spark, str(tmp_path / "table"), str(tmp_path / "out"))
     assert "6,15,2.5,5,50.0" in text_of(tmp_path / "out" / "summary_stats")
     assert text_of(tmp_path / "out" / "peak_frames")[-2:] == ["5,5,0.05", "4,4,0.05"]
-    assert text_of(tmp_path / "out" / "summary_report")[1] == "  Tổng số frame xử lý   : 6"
+    report = text_of(tmp_path / "out" / "summary_report")
+    assert report[0] == report[-1] == "=" * 60 and report[6] == "  Tổng số frame xử lý   : 6"
     jobs.frame_reports(spark, str(tmp_path / "in"), str(tmp_path / "again"), form="json")
     assert text_of(tmp_path / "again" / "summary_stats") == text_of(tmp_path / "out" / "summary_stats")
 
@@ -153,6 +154,17 @@ def test_strict_tables_stop_at_a_malformed_line_before_any_report(spark, tmp_pat
     assert not (tmp_path / "out").exists()
 
 
+def test_strict_reports_stop_at_their_own_fields(spark, tmp_path):
+    rating_files(tmp_path)
+    (tmp_path / "r3.txt").write_text("1, 1, 4.0, soon\n")
+    places = [str(tmp_path / name) for name in ("users.txt", "jobs.txt")]
+    given = [str(tmp_path / name) for name in ("r1.txt", "r2.txt", "r3.txt")]
+    with pytest.raises(Exception, match="malformed line"):
+        jobs.rating_tables(spark, str(tmp_path / "movies.txt"), given, *places, str(tmp_path / "out"))
+    assert text_of(tmp_path / "out" / "movies") and text_of(tmp_path / "out" / "occupations")
+    assert not list((tmp_path / "out").glob("years/part-*"))
+
+
 def test_options_of_the_command_line(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "build_session", lambda name, master: spark)
     (tmp_path / "in").mkdir()

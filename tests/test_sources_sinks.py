@@ -46,6 +46,18 @@ def test_strict_reading_stops_at_a_malformed_line(spark, bad):
         parsed.collect()
 
 
+def test_a_report_stops_only_at_fields_it_reads(spark, rows):
+    texts = ["1,10,4.5,100", "2,20,3.0,soon", "x,30,2.0,7", "4,40,1.5"]
+    late = delimited.parse_lines(lines(spark, texts), delimited.RATINGS, "late")
+    assert rows(delimited.demand(late, "movie_id", "rating")) == [(10, 4.5), (20, 3.0), (30, 2.0), (40, 1.5)]
+    titles = spark.createDataFrame([(10, "A")], "movie_id long, title string")
+    for names in (["rating", "ts"], ["user_id", "movie_id"]):
+        with pytest.raises(Exception, match="malformed line: 2.20|malformed line: x.30|malformed line: 4.40"):
+            delimited.demand(late, *names).collect()
+    with pytest.raises(Exception, match="malformed line: x.30"):  # also where a join would pass the row by
+        delimited.demand(late, "movie_id", "user_id").join(titles, "movie_id").collect()
+
+
 def test_unknown_mode_is_refused(spark):
     with pytest.raises(ValueError):
         delimited.parse_lines(lines(spark, []), delimited.RATINGS, "skip")
