@@ -21,7 +21,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are similar by 0.8 or more stays."""
+    """One document of each group stays whose fingerprints are near in BK-trees and whose five-word shingles similar by 0.8 or more."""
     return shingles.drop_similar(docs)
 
 

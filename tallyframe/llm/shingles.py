@@ -1,4 +1,4 @@
-"""Near-duplicate texts by the exact similarity of their word shingles; MinHash values only propose pairs."""
+"""Near-duplicate texts by SimHash fingerprints of their word shingles in BK-trees; the exact similarity of the shingles decides."""
 
 from __future__ import annotations
 
@@ -12,14 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.components import connected_components
-from tallyframe.llm.simhash import lowest_labels
+from tallyframe.llm.simhash import bits_apart, bk_tree, lowest_labels, within
 from tallyframe.session import stored
 
 SEED = 42
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, BAND_ROWS = 32, 6  # a pair at 0.8 shares a band with probability 1 - (1 - 0.8**6)**32 = 0.99994
-STEP = 2048
+BLOCKS, WIDTH = 64, 12  # bits of a pair at 0.8 differ with probability 0.15: it agrees on a block with 1 - (1 - 0.85**12)**64 = 0.9999
+PRINT_WORDS = 2  # 128 of the bits are the fingerprint that is compared
+RADIUS = 36  # a pair at 0.8 has 19 differing bits on average, 36 or fewer with probability 0.99998; other texts 64
+LEAF = 64
+SHARD_ROWS = 4096
+ASKED = 512  # queries that go down a tree together
+STEP = 255  # bits that are added up as bytes
 CHUNK = 512  # documents of a band that are compared at once
 COLUMNS = 4096  # shingles of a unit that are multiplied at once
 SLICE = 128  # texts that are held as shingle sets at once
@@ -41,39 +46,120 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
-def _least(hashes: np.ndarray, masks: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The MinHash values of a set of hashes."""
-    least = np.full(len(masks), np.iinfo(np.uint64).max, np.uint64)
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The SimHash bits of a set of hashes, as 64-bit words: a bit is 1 if set in over half of the hashes."""
+    salts = np.random.default_rng(SEED).integers(0, 2**64, BLOCKS * WIDTH // 64, np.uint64)
+    counts = np.zeros(BLOCKS * WIDTH, np.int64)
     for at in range(0, len(hashes), STEP):
-        mixed = (hashes[at : at + STEP, None] ^ masks) * factors
-        least = np.minimum(least, mixed.min(axis=0))
-    return least
-
-
-def _bands(least: np.ndarray) -> np.ndarray:
-    rows = least.reshape(BANDS, BAND_ROWS)
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)], np.uint64).view(np.int64)
+        mixed = hashes[at : at + STEP, None] + salts
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        counts += np.add.reduce(np.unpackbits(mixed.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(hashes)).view(np.uint64)
 
 
 def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc, whole, bands) of the documents (doc, text): a digest of the shingle set and the bands."""
+    """(doc, whole, print, shards) of the documents (doc, text): a digest of the shingle set, the fingerprint
+    and the number of each block of bits with its value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(SEED)
-        masks = rng.integers(0, 2**64, BANDS * BAND_ROWS, np.uint64)
-        factors = rng.integers(0, 2**64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
+        place, first = 1 << np.arange(WIDTH)[::-1], np.arange(BLOCKS) << WIDTH
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                wholes, bands = [], []
+                wholes, prints, shards = [], [], []
                 for text in part.column(1).cast(pa.binary()).to_pylist():
                     hashes = np.unique(shingle_hashes(text or b"", words))
                     wholes.append(xxhash.xxh128_digest(hashes.tobytes()))
-                    bands.append(_bands(_least(hashes, masks, factors)).tolist())
-                found = [pa.array(wholes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *found], ["doc", "whole", "bands"])
+                    bits = fingerprint(hashes)
+                    prints.append(bits[:PRINT_WORDS].view(np.int64))
+                    shards.append(np.unpackbits(bits.view(np.uint8)).reshape(BLOCKS, WIDTH) @ place + first)
+                found = [pa.array(wholes, pa.binary()), pa.array(prints, pa.list_(pa.int64())), pa.array(shards, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *found], ["doc", "whole", "print", "shards"])
+
+    return docs.mapInArrow(run, "doc long, whole binary, print array<long>, shards array<long>")
+
+
+def _close_in_leaves(prints: np.ndarray, run: np.ndarray, radius: int, leaf: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs at most ``radius`` apart within runs of up to ``leaf`` rows; ``run`` numbers them in order."""
+    left, right = [prints[:0, 0].astype(np.int64)], [prints[:0, 0].astype(np.int64)]
+    for step in range(1, min(leaf, len(run))):
+        rows = np.flatnonzero(run[step:] == run[:-step])
+        if not len(rows):
+            break
+        rows = rows[bits_apart(prints[rows], prints[rows + step], True) <= radius]
+        left.append(rows)
+        right.append(rows + step)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _close_in_tree(prints: np.ndarray, radius: int, leaf: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect all rows at most ``radius`` apart, found by a BK-tree; at most one per row and ASKED rows."""
+    nodes, left, right = bk_tree(prints, leaf), [], []
+    for at in range(0, len(prints), ASKED):
+        i, j = within(nodes, prints, prints[at : at + ASKED], radius)
+        labels = lowest_labels(len(prints), i + at, j)
+        moved = np.flatnonzero(labels != np.arange(len(prints)))
+        left.append(labels[moved])
+        right.append(moved)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def neighbours(prints: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS, leaf: int = LEAF) -> DataFrame:
+    """(doc, band): groups of two and more documents (doc, print, shards) that are connected, within a shard, by
+    fingerprints at most ``radius`` bits apart.
+
+    A shard has the documents that agree on a block of bits, and a BK-tree of its own; up to ``leaf`` documents
+    are one leaf. A shard over ``shard_rows`` is cut into chunks, and each pair of chunks is a unit, so no task holds
+    a shard. The same group found in several shards counts once.
+    """
+
+    def groups(shard: np.ndarray, unit: np.ndarray, doc: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+        borders = np.flatnonzero((shard[1:] != shard[:-1]) | (unit[1:] != unit[:-1])) + 1
+        bounds = np.r_[0, borders, len(doc)]
+        sizes = np.diff(bounds)
+        run_of = np.repeat(np.arange(len(sizes)), sizes)
+        small = np.flatnonzero((sizes <= leaf)[run_of])
+        pairs = [[small[end] for end in _close_in_leaves(prints[small], run_of[small], radius, leaf)]]
+        for at in np.flatnonzero(sizes > leaf):
+            start = bounds[at]
+            pairs.append([start + end for end in _close_in_tree(prints[start : bounds[at + 1]], radius, leaf)])
+        left, right = (np.concatenate(side) for side in zip(*pairs))
+        ends, inverse = np.unique(np.concatenate([left, right]), return_inverse=True)
+        labels = lowest_labels(len(ends), inverse[: len(left)], inverse[len(left) :])
+        order = np.lexsort((doc[ends], labels))
+        docs, labels = doc[ends][order], labels[order]
+        cuts = np.r_[0, np.flatnonzero(labels[1:] != labels[:-1]) + 1, len(docs)] if len(docs) else np.zeros(1, np.int64)
+        names = [xxhash.xxh64_intdigest(docs[start:end].tobytes(), SEED) for start, end in zip(cuts, cuts[1:])]
+        bands = np.repeat(np.array(names, np.uint64).view(np.int64), np.diff(cuts))
+        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(bands)], ["doc", "band"])
 
-    return docs.mapInArrow(run, "doc long, whole binary, bands array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            columns = [batch.column(k).to_numpy() for k in range(3 + PRINT_WORDS)]
+            parts = [*columns[:3], np.stack(columns[3:], axis=1).view(np.uint64)]
+            held = parts if held is None else [np.concatenate(both) for both in zip(held, parts)]
+            last = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))
+            if len(last):
+                start = int(last[-1]) + 1
+                yield groups(*(part[:start] for part in held))
+                held = [part[start:] for part in held]
+        if held is not None:
+            yield groups(*held)
+
+    large = prints.select(F.explode("shards").alias("shard")).groupBy("shard").count().where(F.col("count") > shard_rows)
+    words = [F.col("print")[k].alias(f"word_{k}") for k in range(PRINT_WORDS)]
+    spread = prints.select("doc", *words, F.explode("shards").alias("shard")).join(F.broadcast(large), "shard", "left")
+    cut = spread.withColumn("chunks", F.coalesce(F.ceil(F.col("count") / shard_rows), F.lit(1)).cast("long"))
+    cut = cut.withColumn("chunk", F.pmod(F.xxhash64("doc"), "chunks"))
+    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    unit = (F.least("chunk", "other") * F.col("chunks") + F.greatest("chunk", "other")).alias("unit")
+    dealt = paired.select("shard", unit, "doc", *(f"word_{k}" for k in range(PRINT_WORDS)))
+    return dealt.repartition("shard", "unit").sortWithinPartitions("shard", "unit").mapInArrow(run, "doc long, band long").distinct()
 
 
 def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int = WORDS, least: float = SIMILARITY) -> DataFrame:
@@ -170,17 +256,18 @@ def close_links(members: DataFrame, words: int = WORDS, least: float = SIMILARIT
 def similar_links(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY) -> DataFrame:
     """(a, b) links that connect all pairs of ``docs`` (doc, text) that share a band and are similar.
 
-    Documents with equal shingle sets are represented by one. The representatives of a band are compared with two
-    hubs, its smallest and a drawn one, so a large group of near copies costs two comparisons per document. In
-    bands that are not connected by then, all documents of different components are compared inside tasks, in
-    units of a fixed size. So no pair is skipped because a hub differs from one of its ends, and only links are
-    written. The work inside such a band still grows with the square of its documents.
+    Documents with equal shingle sets are represented by one. Fingerprints near each other in a shard's BK-tree
+    make groups, the bands. The documents of a band are compared with two hubs, its smallest and a drawn one, so a
+    large group of near copies costs two comparisons per document. In bands that are not connected by then, all
+    documents of different components are compared inside tasks, in units of a fixed size. So no pair is skipped
+    because a hub differs from one of its ends, and only links are written. The work inside such a band still
+    grows with the square of its documents, and that inside a shard with the square of its fingerprints.
     """
     signed = stored(signatures(docs, words), "signatures")
     wholes = signed.groupBy("whole").agg(F.min("doc").alias("rep"))
     equal = signed.select("doc", "whole").join(wholes, "whole").where("doc != rep").select(F.col("rep").alias("a"), F.col("doc").alias("b")).distinct()
-    reps = signed.join(wholes.select(F.col("rep").alias("doc"), "whole"), ["doc", "whole"])
-    bands = stored(reps.select("doc", F.explode("bands").alias("band")).distinct(), "bands")
+    reps = stored(signed.join(wholes.select(F.col("rep").alias("doc"), "whole"), ["doc", "whole"]).drop("whole"), "prints")
+    bands = stored(neighbours(reps), "bands")
     drawn = F.min_by("doc", F.xxhash64(F.lit(SEED), "doc"))
     hubs = bands.groupBy("band").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), drawn.alias("drawn")).where("low < high")
     shared = stored(bands.join(hubs, "band"), "shared")

@@ -47,19 +47,26 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, fp long")
 
 
-def bk_tree(values: np.ndarray) -> list:
+def bits_apart(left: np.ndarray, right: np.ndarray, wide: bool = False) -> np.ndarray:
+    """Hamming distances of 64-bit values; those of wide ones have their words along the last axis."""
+    apart = np.bitwise_count(left ^ right)
+    return apart.sum(axis=-1, dtype=np.uint16) if wide else apart
+
+
+def bk_tree(values: np.ndarray, most: int = LEAF) -> list:
     """Nodes (pivot, members of a leaf or None, {distance: child}); children are keyed by the integer
-    Hamming distance to the pivot, and sets of up to LEAF values stay together as a leaf."""
-    nodes, todo = [], [(np.arange(len(values)), None, 0)]
+    Hamming distance to the pivot, and sets of up to ``most`` values stay together as a leaf. Values are
+    64-bit numbers or, wide ones, rows of them."""
+    nodes, todo, wide = [], [(np.arange(len(values)), None, 0)], values.ndim > 1
     while todo:
         members, parent, distance = todo.pop()
         if parent is not None:
             nodes[parent][2][distance] = len(nodes)
-        if len(members) <= LEAF:
+        if len(members) <= most:
             nodes.append((None, members, {}))
             continue
         pivot, rest = members[0], members[1:]
-        apart = np.bitwise_count(values[rest] ^ values[pivot])
+        apart = bits_apart(values[rest], values[pivot], wide)
         todo.extend((rest[apart == d], len(nodes), int(d)) for d in np.unique(apart))
         nodes.append((pivot, None, {}))
     return nodes
@@ -68,16 +75,16 @@ def bk_tree(values: np.ndarray) -> list:
 def within(nodes: list, values: np.ndarray, asked: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, value) index pairs at most ``radius`` apart. All queries go down the tree together;
     each follows only the edges whose distance differs from its own by at most the radius."""
-    left, right, todo = [], [], [(0, np.arange(len(asked)))]
+    left, right, todo, wide = [], [], [(0, np.arange(len(asked)))], values.ndim > 1
     while todo:
         at, queries = todo.pop()
         pivot, members, children = nodes[at]
         if members is not None:
-            i, j = np.nonzero(np.bitwise_count(asked[queries][:, None] ^ values[members][None, :]) <= radius)
+            i, j = np.nonzero(bits_apart(asked[queries][:, None], values[members][None, :], wide) <= radius)
             left.append(queries[i])
             right.append(members[j])
             continue
-        apart = np.bitwise_count(asked[queries] ^ values[pivot]).astype(np.int64)
+        apart = bits_apart(asked[queries], values[pivot], wide).astype(np.int64)
         hit = queries[apart <= radius]
         left.append(hit)
         right.append(np.full(len(hit), pivot))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 import corpus_pipeline
-from tallyframe.llm import shingles
+from tallyframe.llm import shingles, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -99,3 +99,54 @@ def test_awkward_rows_of_the_near_stage(spark):
     kept = corpus_pipeline.near(spark, spark.createDataFrame(rows, layout), FOLDER)
     assert kept.columns == ["doc_id", "text", "band", "own", "least"]
     assert sorted((row["doc_id"] or 0) for row in kept.collect()) == [0, 1, 1, 3, 5]
+
+
+def test_bk_trees_of_wide_values_equal_brute_force():
+    rng = np.random.default_rng(6)
+    values = np.repeat(rng.integers(0, 2**64, (60, 2), np.uint64), 5, axis=0)
+    values[:, 0] ^= np.uint64(1) << rng.integers(0, 64, 300, np.uint64)
+    found = simhash.within(simhash.bk_tree(values, 4), values, values[:50], 1)
+    apart = np.bitwise_count(values[:50, None] ^ values[None, :]).sum(axis=2)
+    assert set(zip(*(end.tolist() for end in found))) == set(zip(*(end.tolist() for end in np.nonzero(apart <= 1))))
+
+
+def test_neighbours_equal_fingerprints_compared_in_pairs(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**64, (8, shingles.PRINT_WORDS), np.uint64)
+    rows = []
+    for doc in range(160):
+        flipped = base[doc % 8].copy()
+        for at in rng.integers(0, 128, rng.integers(0, 8)):
+            flipped[at // 64] ^= np.uint64(1) << np.uint64(at % 64)
+        rows.append((doc, [int(word) for word in flipped.view(np.int64)], [int(doc % 3 > 0), 2 + doc % 2]))
+    prints = spark.createDataFrame(rows, "doc long, print array<long>, shards array<long>")
+
+    def near(a, b):
+        return sum(((x ^ y) & 2**64 - 1).bit_count() for x, y in zip(a[1], b[1])) <= 5
+
+    expected = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and set(a[2]) & set(b[2]) and near(a, b)}
+    for shard_rows, leaf in ((4096, 4096), (4096, 4), (20, 4)):  # one leaf, a tree, trees of pairs of chunks
+        members: dict[int, set] = {}
+        for doc, band in shingles.neighbours(prints, 5, shard_rows, leaf).collect():
+            members.setdefault(band, set()).add(doc)
+        assert all(any({a, b} <= group for group in members.values()) for a, b in expected)
+        for group in members.values():  # connected, and of at least two
+            todo, seen = [min(group)], {min(group)}
+            while todo:
+                at = todo.pop()
+                new = {b for b in group - seen if (min(at, b), max(at, b)) in expected}
+                seen |= new
+                todo += new
+            assert seen == group and len(group) > 1
+
+
+def test_fingerprints_propose_nearly_all_pairs_at_the_threshold():
+    rng = np.random.default_rng(9)
+    found = 0
+    for _ in range(400):
+        both, own = rng.integers(0, 2**64, 80, np.uint64), rng.integers(0, 2**64, 20, np.uint64)
+        a, b = (shingles.fingerprint(np.concatenate([both, part])) for part in (own[:10], own[10:]))
+        blocks = np.unpackbits((a ^ b).view(np.uint8)).reshape(shingles.BLOCKS, shingles.WIDTH)
+        close = np.bitwise_count(a ^ b)[: shingles.PRINT_WORDS].sum() <= shingles.RADIUS
+        found += bool(close and (~blocks.any(axis=1)).any())
+    assert found >= 398
