@@ -20,6 +20,7 @@ LENGTH = 2048
 END_ID = 1
 GROUP_PIECES = 2048
 KNOWN_WORDS = 400_000
+TEXTS, CHARACTERS = 32, 1_000_000  # texts that are encoded at once, fewer if they have more characters
 ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85")  # split by str.split(), but not all of them space to tokenizers
 ROW_BITS = 40
 
@@ -49,25 +50,40 @@ class WordIds:
         self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        if any(mark in text for mark in self.whole):
-            return b"".join(map(_four_bytes, self.tokenizer.encode(text, add_special_tokens=False).ids))
-        words = text.split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.known.__getitem__, words))
-
-    def learn(self, words: list[str]) -> None:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the new words of all are learnt together."""
+        cut = [None if any(mark in text for mark in self.whole) else text.split() for text in texts]
+        self.learn(set().union(*(words for words in cut if words)))
+        find = self.known.__getitem__
+        return [self.encode_whole(text) if words is None else b"".join(map(find, words)) for text, words in zip(texts, cut)]
+
+    def encode_each(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of texts, null ones as empty, in groups of TEXTS that end at the text that passes CHARACTERS."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text.as_py() or "")
+            size += len(held[-1])
+            if len(held) == TEXTS or size > CHARACTERS:
+                yield from self.encode_all(held)
+                held, size = [], 0
+        if held:
+            yield from self.encode_all(held)
+
+    def encode_whole(self, text: str) -> bytes:
+        return b"".join(map(_four_bytes, self.tokenizer.encode(text, add_special_tokens=False).ids))
+
+    def learn(self, words: set[str]) -> None:
         """Make all ``words`` known; words not met since the last change of generation are forgotten."""
         if len(self.known) > KNOWN_WORDS:
             self.known, self.older = {}, self.known
         known, older, cut, pieces, foreign = self.known, self.older, {}, {}, []
-        for word in dict.fromkeys(words):
-            if word in known:
-                continue
+        for word in words.difference(known):
             if (ids := older.get(word)) is not None:
                 known[word] = ids
+            elif word.islower() and word.isascii() and word.isalpha():
+                pieces[word] = None  # a piece of its own
             elif _latin(word):
                 cut[word] = parts = self.pieces.findall(word.lower())
                 for part in parts:
@@ -78,8 +94,9 @@ class WordIds:
                             pieces[part] = None
             else:
                 foreign.append(word)
-        for word, found in zip(foreign, self.tokenizer.encode_batch_fast(foreign, add_special_tokens=False)):
-            known[word] = np.array(found.ids, "<u4").tobytes()
+        if foreign:
+            for word, found in zip(foreign, self.tokenizer.encode_batch_fast(foreign, add_special_tokens=False)):
+                known[word] = np.array(found.ids, "<u4").tobytes()
         self.learn_pieces(list(pieces))
         for word, parts in cut.items():
             known[word] = known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts))
@@ -121,8 +138,8 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_i
         rid = TaskContext.get().partitionId() << ROW_BITS
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.encode(text or "") + end
+            for doc, found in zip(batch.column(0).to_pylist(), encoder.encode_each(batch.column(1))):
+                ids = found + end
                 total = len(ids) // 4
                 for start in range(0, total, length):
                     piece = ids[4 * start : 4 * (start + length)]

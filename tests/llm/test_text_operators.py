@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -383,3 +384,14 @@ def test_pipeline_rows(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows.columns)
     assert rows.agg(F.count("*")).first()[0] > 0
+
+
+def test_texts_encoded_together_equal_the_plain_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "TEXTS", 3)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 4)  # generations change between and within groups
+    texts = ["plain words plain", None, "Plain it's x9 don't", "", "é È plain <|endoftext|> x", "İ ǅ 'll ABC abc", "words\x85plain words", "new plain words again"]
+    path = registry.tokenizer_path()
+    plain, found = Tokenizer.from_file(path), packing.WordIds(path).encode_each(pa.array(texts))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [plain.encode(text or "", add_special_tokens=False).ids for text in texts]
