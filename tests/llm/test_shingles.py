@@ -150,3 +150,69 @@ def test_fingerprints_propose_nearly_all_pairs_at_the_threshold():
         close = np.bitwise_count(a ^ b)[: shingles.PRINT_WORDS].sum() <= shingles.RADIUS
         found += bool(close and (~blocks.any(axis=1)).any())
     assert found >= 398
+
+
+def test_texts_of_a_large_group_travel_once_and_not_once_per_band(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for doc in range(160):  # up to 7 edits, so some copies are similar to few others and some to none
+        edited = list(base)
+        for at in rng.integers(0, 100, doc % 8):
+            edited[at] = f"e{rng.integers(10**6)}"
+        rows.append((doc, " ".join(edited)))
+    counts, compare, link = {}, shingles.similar_pairs, shingles.close_links
+
+    def pairs(met, *more):
+        counts["pairs"] = met.count()
+        return compare(met, *more)
+
+    def links(members, *more):
+        counts["texts"], counts["docs"] = members.count(), members.select("doc").distinct().count()
+        return link(members, *more)
+
+    monkeypatch.setattr(shingles, "similar_pairs", pairs)
+    monkeypatch.setattr(shingles, "close_links", links)
+    got = corpus_pipeline.near(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER).collect()
+    expected = _kept(rows)
+    assert {r["doc_id"] for r in got} == expected and 50 < len(expected) < 120
+    assert counts["texts"] == counts["docs"] <= 160 and counts["pairs"] <= 2 * 160
+
+
+def test_nearest_in_bands_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "ROWS", 16)
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 2**64, (3, 12), np.uint64)
+    prints, bands = [], []
+    for doc in range(120):
+        flipped = np.unpackbits(base[doc % 3].view(np.uint8))
+        flipped[rng.choice(768, rng.integers(0, 130), replace=False)] ^= 1
+        prints.append((doc, int(rng.integers(3, 9)), [int(word) for word in np.packbits(flipped).view(np.int64)]))
+        bands += [(doc, band) for band in (0, 1 + doc % 5)]  # a large band and small ones
+    size, bits = [p[1] for p in prints], np.array([p[2] for p in prints]).view(np.uint64)
+
+    def apart(a, b):
+        return int(np.bitwise_count(bits[a] ^ bits[b]).sum())
+
+    expected = set()
+    for band in range(6):
+        docs = sorted(doc for doc, own in bands if own == band)
+        near = {a: [] for a in docs}
+        for a in docs:
+            for b in docs:
+                most = shingles.FEW_RADIUS if min(size[a], size[b]) < shingles.FEW else shingles.WHOLE_RADIUS
+                if a != b and apart(a, b) <= most and min(size[a], size[b]) >= 0.8 * max(size[a], size[b]):
+                    near[a].append(b)
+        sure = {a: [b for b in near[a] if apart(a, b) <= shingles.SURE] for a in docs}
+        for a in (a for a in docs if near[a]):
+            todo, seen = [a], {a}
+            while todo:
+                todo += (new := set(near[todo.pop()]) - seen)
+                seen |= new
+            nearest = min(near[a], key=lambda b: (apart(a, b), b))
+            hub = min(sure[a], key=lambda b: (-len(sure[b]), b)) if sure[a] else None
+            expected.add((a, min(seen), nearest, apart(a, nearest), hub))
+    frames = spark.createDataFrame(bands, "doc long, band long"), spark.createDataFrame(prints, "doc long, size long, print array<long>")
+    found = {(r["doc"], r["root"], r["nearest"], r["apart"], r["hub"]) for r in shingles.nearest_in_bands(*frames).collect()}
+    unsure = {(a, nearest) for a, _, nearest, _, hub in expected if hub is None}
+    assert {row if (row[0], row[2]) not in unsure else (*row[:4], None) for row in found} == expected and 0 < len(unsure) < len(expected)
