@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -20,17 +21,28 @@ LENGTH = 2048
 END_ID = 1
 GROUP_PIECES = 2048
 KNOWN_WORDS = 400_000
-TEXTS, CHARACTERS = 32, 1_000_000  # texts that are encoded at once, fewer if they have more characters
+TEXTS, CHARACTERS = 10_000, 6_000_000  # texts that are encoded at once, fewer if they have more characters
+PIECES = 8192  # pieces that go through the tokenizer as one text
 ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85")  # split by str.split(), but not all of them space to tokenizers
 ROW_BITS = 40
 
 
+def _strings(offsets: np.ndarray, data: pa.Buffer | None, kind: pa.DataType) -> pa.Array:
+    """The parts of ``data`` between neighbouring offsets."""
+    return pa.Array.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), data or pa.py_buffer(b"")])
+
+
+def _offsets(strings: pa.Array) -> np.ndarray:
+    return np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+
+
 class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer never joins characters across white space, so the ids of a text are those of its
-    words in turn, and words met before are looked up. A new word is cut into the pieces that the tokenizer's own pattern
-    finds; new pieces go through the tokenizer together, as one text, and their ids are told apart by
+    words in turn. Arrow finds the distinct words of a group of texts and copies their ids to where they are. Letters, and
+    letters with signs after them, are cut there, other words by the tokenizer's own pattern; pieces met before are
+    looked up. New pieces go through the tokenizer together, past its steps that make pieces, and their ids are told apart by
     the mark that only the last token of a piece has. Words with letters beyond Latin-1, whose lower case
     need not be final, go through it one by one. Texts with control characters on which two
     definitions of white space differ, and those that hold the string of a special token, go through the tokenizer whole.
@@ -42,22 +54,27 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         layout = json.loads(self.tokenizer.to_str())
         self.whole = (*ODD_SPACE, *(token["content"] for token in layout["added_tokens"]))
-        self.pieces = regex.compile(layout["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        to_pieces, to_bytes = layout["pre_tokenizer"]["pretokenizers"]
+        self.pieces = regex.compile(to_pieces["pattern"]["Regex"])
+        self.signs = "".join(filter(regex.compile(r"[^\s\p{L}\p{N}]").match, map(chr, range(256))))
+        at_spaces = {"type": "Sequence", "pretokenizers": [{"type": "CharDelimiterSplit", "delimiter": " "}, to_bytes]}
+        self.of_pieces = Tokenizer.from_str(json.dumps(layout | {"normalizer": None, "added_tokens": [], "pre_tokenizer": at_spaces}))
         mark, vocabulary = layout["model"]["end_of_word_suffix"], self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[number for token, number in vocabulary.items() if token.endswith(mark)]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known, self.known_ids = pa.array([""], pa.large_string()), pa.array([b""], pa.large_binary())
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; the new words of all are learnt together."""
-        cut = [None if any(mark in text for mark in self.whole) else text.split() for text in texts]
-        self.learn(set().union(*(words for words in cut if words)))
-        find = self.known.__getitem__
-        return [self.encode_whole(text) if words is None else b"".join(map(find, words)) for text, words in zip(texts, cut)]
+        whole = [any(mark in text for mark in self.whole) for text in texts]
+        cut = pc.utf8_split_whitespace(pa.array(["" if odd else text for text, odd in zip(texts, whole)], pa.large_string()))
+        found = cut.flatten().dictionary_encode()
+        ids = self.word_ids(found.dictionary).take(found.indices)
+        ends, data = _offsets(ids)[cut.offsets.to_numpy()].tolist(), memoryview(ids.buffers()[2] or b"")
+        return [self.encode_whole(text) if odd else bytes(data[start:end]) for text, odd, start, end in zip(texts, whole, ends, ends[1:])]
 
     def encode_each(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of texts, null ones as empty, in groups of TEXTS that end at the text that passes CHARACTERS."""
@@ -74,50 +91,47 @@ class WordIds:
     def encode_whole(self, text: str) -> bytes:
         return b"".join(map(_four_bytes, self.tokenizer.encode(text, add_special_tokens=False).ids))
 
-    def learn(self, words: set[str]) -> None:
-        """Make all ``words`` known; words not met since the last change of generation are forgotten."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known, self.older = {}, self.known
-        known, older, cut, pieces, foreign = self.known, self.older, {}, {}, []
-        for word in words.difference(known):
-            if (ids := older.get(word)) is not None:
-                known[word] = ids
-            elif word.islower() and word.isascii() and word.isalpha():
-                pieces[word] = None  # a piece of its own
-            elif _latin(word):
-                cut[word] = parts = self.pieces.findall(word.lower())
-                for part in parts:
-                    if part not in known:
-                        if (ids := older.get(part)) is not None:
-                            known[part] = ids
-                        else:
-                            pieces[part] = None
-            else:
-                foreign.append(word)
-        if foreign:
-            for word, found in zip(foreign, self.tokenizer.encode_batch_fast(foreign, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        self.learn_pieces(list(pieces))
-        for word, parts in cut.items():
-            known[word] = known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts))
-
-    def learn_pieces(self, pieces: list[str]) -> None:
-        if not pieces:
-            return
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
-        if len(ends) != len(pieces):
-            raise ValueError("the tokenizer does not mark the end of each piece")
-        data = ids.tobytes()
-        self.known.update(zip(pieces, (data[start:end] for start, end in zip([0, *ends], ends))))
-
-
-def _latin(word: str) -> bool:
-    try:
-        word.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+    def word_ids(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words; an empty one, beside space at the start or end of a text, has none."""
+        latin = pc.match_substring_regex(words, r"^[\x{0}-\x{ff}]*$")
+        low = pc.utf8_lower(words)
+        letters = pc.utf8_rtrim(low, self.signs)
+        plain = pc.and_(latin, pc.utf8_is_alpha(letters))
+        other, foreign = pc.and_not(latin, plain), pc.invert(latin)
+        low_plain, cuts = low.filter(plain), [self.pieces.findall(word) for word in low.filter(other).to_pylist()]
+        starts = _offsets(low_plain)
+        middle = starts[:-1] + pc.binary_length(letters.filter(plain)).to_numpy()
+        borders = np.r_[np.stack([starts[:-1], middle], axis=1).ravel(), starts[-1:]]
+        both = _strings(borders, low_plain.buffers()[2], pa.large_string())  # letters and signs of each word in turn
+        ids = self.piece_ids(pa.concat_arrays([both, pa.array([part for parts in cuts for part in parts], pa.large_string())]))
+        parts = np.r_[np.full(len(low_plain), 2), np.array([len(parts) for parts in cuts], np.int64)]
+        ids = _strings(_offsets(ids)[np.r_[0, np.cumsum(parts)]], ids.buffers()[2], pa.large_binary())
+        alone = self.tokenizer.encode_batch_fast(words.filter(foreign).to_pylist(), add_special_tokens=False)
+        ids = pa.concat_arrays([ids, pa.array([np.array(one.ids, "<u4").tobytes() for one in alone], pa.large_binary())])
+        order = np.concatenate([np.flatnonzero(kind.to_numpy(zero_copy_only=False)) for kind in (plain, other, foreign)])
+        return ids.take(pa.array(np.argsort(order)))
+
+    def piece_ids(self, pieces: pa.Array) -> pa.Array:
+        """Ids of pieces, which are known after it; over KNOWN_WORDS those that are not among them are forgotten."""
+        found = pa.concat_arrays([pieces, pa.array([""], pa.large_string())]).dictionary_encode()
+        place = pc.index_in(found.dictionary, value_set=self.known)
+        new = found.dictionary.filter(pc.is_null(place))
+        known, ids = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.known_ids, *self.learn_pieces(new)])
+        place = place.to_numpy(zero_copy_only=False).copy()
+        place[np.isnan(place)] = np.arange(len(self.known), len(known))
+        own = ids.take(pa.array(place.astype(np.int64)))
+        self.known, self.known_ids = (known, ids) if len(known) <= KNOWN_WORDS else (found.dictionary, own)
+        return own.take(found.indices.slice(0, len(pieces)))
+
+    def learn_pieces(self, pieces: pa.Array) -> Iterator[pa.Array]:
+        for at in range(0, len(pieces), PIECES):
+            some = pieces.slice(at, PIECES)
+            ids = self.of_pieces.encode_batch_fast([" ".join(some.to_pylist())], add_special_tokens=False)[0].ids
+            ids = np.array(ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer does not mark the end of each piece")
+            yield _strings(np.r_[0, ends], pa.py_buffer(ids.tobytes()), pa.large_binary())
 
 
 def _four_bytes(number: int) -> bytes:
