@@ -21,7 +21,7 @@ LENGTH = 2048
 END_ID = 1
 GROUP_PIECES = 2048
 KNOWN_WORDS = 400_000
-TEXTS, CHARACTERS = 10_000, 6_000_000  # texts that are encoded at once, fewer if they have more characters
+TEXTS, CHARACTERS = 10_000, 4_000_000  # texts that are encoded at once, fewer if they have more characters
 PIECES = 8192  # pieces that go through the tokenizer as one text
 ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85")  # split by str.split(), but not all of them space to tokenizers
 ROW_BITS = 40
@@ -49,16 +49,15 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         layout = json.loads(self.tokenizer.to_str())
         self.whole = (*ODD_SPACE, *(token["content"] for token in layout["added_tokens"]))
-        to_pieces, to_bytes = layout["pre_tokenizer"]["pretokenizers"]
-        self.pieces = regex.compile(to_pieces["pattern"]["Regex"])
+        self.pieces = regex.compile(layout["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.signs = "".join(filter(regex.compile(r"[^\s\p{L}\p{N}]").match, map(chr, range(256))))
-        at_spaces = {"type": "Sequence", "pretokenizers": [{"type": "CharDelimiterSplit", "delimiter": " "}, to_bytes]}
-        self.of_pieces = Tokenizer.from_str(json.dumps(layout | {"normalizer": None, "added_tokens": [], "pre_tokenizer": at_spaces}))
+        self.steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.at_spaces = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(False, use_regex=False)])
         mark, vocabulary = layout["model"]["end_of_word_suffix"], self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[number for token, number in vocabulary.items() if token.endswith(mark)]] = True
@@ -126,8 +125,11 @@ class WordIds:
     def learn_pieces(self, pieces: pa.Array) -> Iterator[pa.Array]:
         for at in range(0, len(pieces), PIECES):
             some = pieces.slice(at, PIECES)
-            ids = self.of_pieces.encode_batch_fast([" ".join(some.to_pylist())], add_special_tokens=False)[0].ids
-            ids = np.array(ids, "<u4")
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = None, self.at_spaces
+            try:
+                ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some.to_pylist())], add_special_tokens=False)[0].ids, "<u4")
+            finally:
+                self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.steps
             ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
             if len(ends) != len(some):
                 raise ValueError("the tokenizer does not mark the end of each piece")
@@ -161,6 +163,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_i
                 rid += 1
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "rid"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 6)], names)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, rid long")
