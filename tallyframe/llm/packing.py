@@ -21,7 +21,7 @@ LENGTH = 2048
 END_ID = 1
 GROUP_PIECES = 2048
 KNOWN_WORDS = 400_000
-TEXTS, CHARACTERS = 10_000, 4_000_000  # texts that are encoded at once, fewer if they have more characters
+TEXTS, CHARACTERS = 10_000, 2_000_000  # texts that are encoded at once, fewer if they have more characters
 PIECES = 8192  # pieces that go through the tokenizer as one text
 ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85")  # split by str.split(), but not all of them space to tokenizers
 ROW_BITS = 40
@@ -76,7 +76,8 @@ class WordIds:
         return [self.encode_whole(text) if odd else bytes(data[start:end]) for text, odd, start, end in zip(texts, whole, ends, ends[1:])]
 
     def encode_each(self, texts: pa.Array) -> Iterator[bytes]:
-        """Ids of texts, null ones as empty, in groups of TEXTS that end at the text that passes CHARACTERS."""
+        """Ids of texts, null ones as empty, in groups of TEXTS that end at the text that passes CHARACTERS; Arrow gives
+        back what a group took before the next one."""
         held, size = [], 0
         for text in texts:
             held.append(text.as_py() or "")
@@ -84,6 +85,7 @@ class WordIds:
             if len(held) == TEXTS or size > CHARACTERS:
                 yield from self.encode_all(held)
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
         if held:
             yield from self.encode_all(held)
 
@@ -163,6 +165,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_i
                 rid += 1
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "rid"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 6)], names)
+        batch = None
         pa.default_memory_pool().release_unused()  # the worker lives on
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

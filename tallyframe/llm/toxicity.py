@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,7 @@ SIZE, HIDDEN = 12, 8
 GRAMS = 4096  # rows of the table of character trigrams
 MOST_DOCUMENTS, MOST_CHARACTERS = 3000, 50_000_000  # bounds of the sample that the network is fitted on, in whole documents
 CLEAN_WINDOWS = 3  # of a clean document, learnt from per epoch
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000  # kept between texts; a worker of Spark lives on and has them while other stages run
 BATCH = 512
 
 
@@ -281,7 +281,7 @@ class Scorer:
             start = len(self.known)
             self.known.update({word: start + at for at, word in enumerate(new)})
             parts = [self.net.project(self.net.inputs(new[at : at + 20_000])) for at in range(0, len(new), 20_000)]
-            self.gates = np.concatenate([self.gates[:start], *parts]).astype(np.float32)
+            self.gates = np.concatenate([self.gates[:start], *parts]).astype(np.float32, copy=False)
 
     def _logits(self, texts: Sequence[list[str]]) -> list[float]:
         """Greatest logit over all windows per list of words."""
@@ -299,13 +299,13 @@ class Scorer:
             np.maximum.at(best, [doc for doc, _ in some], _score_windows(self.net, self.gates, table, length))
         return np.where(np.isfinite(best), best, self.net.base).tolist()
 
-    def score(self, texts: Sequence[str | None]) -> np.ndarray:
-        """Probability per text, a slice of texts at a time."""
+    def score(self, texts: Iterable[str | None] | pa.Array) -> np.ndarray:
+        """Probability per text, a slice of texts at a time; an Arrow array is never held as strings."""
         logits: list[float] = []
         part: list[list[str]] = []
         held = 0
         for text in texts:
-            part.append(words_of(text))
+            part.append(words_of(text.as_py() if isinstance(text, pa.Scalar) else text))
             held += len(part[-1])
             if held > 200_000:
                 logits += self._logits(part)
@@ -372,9 +372,11 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(net)
         for batch in batches:
-            scores = scorer.score(batch.column(2).to_pylist())
+            scores = scorer.score(batch.column(2))
             columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
+        batch = columns = None
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     doc = F.col("doc_id").cast("long")
     narrow = docs.select(doc.alias("doc_id"), held_out(doc).alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -382,15 +384,14 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, net: Network, limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``limit``, with all columns."""
+    """The rows of ``docs`` whose score is below ``limit``, with all columns; only texts go to Python, only scores come back."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _scorer(net)
-        for batch in batches:
-            row = batch.column(0)
-            stays = scorer.score(batch.column(1).to_pylist()) < limit
-            yield pa.RecordBatch.from_arrays([row.filter(pa.array(stays))], ["row"])
+        for texts in parts:
+            yield pa.array(scorer.score(texts), pa.float64())
+        texts = None
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
-    whole = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    kept = whole.mapInArrow(run, f"row {whole.schema['row'].dataType.simpleString()}")
-    return kept.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
+    return docs.where(score(F.col("text").cast("string")) < limit)
